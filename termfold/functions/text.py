@@ -45,8 +45,7 @@ def suffix(c: Column | str) -> Column:
     At most as many characters as the text has without its trailing blanks.
     """
     c = col(c)
-    at = F.instr(c, HAT)
-    return F.when(at > 0, F.substring(c, at, F.length(F.rtrim(c)))).otherwise("")
+    return F.substring(c, F.length(head(c)) + 1, F.length(F.rtrim(c)))
 
 
 def regroup(group: Column | str, c: Column | str) -> Column:

@@ -15,6 +15,10 @@ CLASS = "_class"            # comparison key of EQUIV_CLS
 COUNT = "CLS_COUNT"
 COUNT_FIELD = "LONG_COMMON_NAME"
 HEADING, MEMBER, BLANK = 0, 1, 2
+REVISED_PAIRS = {
+    "PROPERTY_REV": "PROPERTY", "TIME_REV": "TIME_ASPCT", "SYSTEM_REV": "SYSTEM",
+    "SCALE_REV": "SCALE_TYP", "METHOD_REV": "METHOD_TYP",
+}
 
 
 def add_warnings(df: DataFrame, warnings: list[tuple[str, dict]], where: Column | None = None) -> DataFrame:
@@ -93,10 +97,7 @@ def report_columns(df: DataFrame) -> list[str]:
     out = [KEY, "LOINC_NUM", "COMPONENT"]
     out += [c for c in ("COMPONENT_REV",) if c in df.columns]
     out.append("EXAMPLE_UCUM_UNITS")
-    for source, revised in (
-        ("PROPERTY", "PROPERTY_REV"), ("TIME_ASPCT", "TIME_REV"), ("SYSTEM", "SYSTEM_REV"),
-        ("SCALE_TYP", "SCALE_REV"), ("METHOD_TYP", "METHOD_REV"),
-    ):
+    for revised, source in REVISED_PAIRS.items():
         if revised in df.columns:
             out += [source, revised]
     out.append(COUNT_FIELD)

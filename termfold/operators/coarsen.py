@@ -35,25 +35,45 @@ def duplicate(df: DataFrame, pairs: dict[str, str], where: dict[str, Column] | N
     return df.withColumns(new)
 
 
-def truth_digit(gate: Column) -> Column:
-    return F.when(gate, "1").when(~gate, "0").otherwise("2")
+class Profiles:
+    """The profiles of one run, each a bit of the ``_bit`` column.
+
+    Testing a bit keeps the generated code short, however many profiles a
+    condition names; with one profile there is nothing to test.
+    """
+
+    BIT = "_bit"
+
+    def __init__(self, names: list[str]):
+        if len(names) > 63:
+            raise ValueError("at most 63 profiles can run together")
+        self.bits = {name: 1 << i for i, name in enumerate(names)}
+
+    @property
+    def several(self) -> bool:
+        return len(self.bits) > 1
+
+    def any_of(self, names: list[str]) -> Column:
+        mask = sum(self.bits[n] for n in set(names))
+        if mask == sum(self.bits.values()):
+            return F.lit(True)
+        return F.col(self.BIT).bitwiseAND(F.lit(mask).cast("long")) != 0
 
 
 def apply_rules(
     df: DataFrame,
     rules: list[R.Rule],
     gates: dict[str, Column] | None = None,
-    profiles: list[str] | None = None,
+    profiles: Profiles | None = None,
 ) -> DataFrame:
     """Replace values of the target columns as the rules say.
 
-    With several ``profiles`` the frame has a ``profile`` column and each row follows
+    With several ``profiles`` the frame has their ``_bit`` column and each row follows
     the rules of its own profile; otherwise all rules apply to all rows.
     """
     R.check(rules)
     gates, columns = gates or {}, df.columns
-    if profiles is not None and len(profiles) < 2:
-        profiles = None
+    profiles = profiles or Profiles(list(dict.fromkeys(r.profile for r in rules)))
     staged: dict[int, dict[str, dict[str, list[R.Rule]]]] = {}
     for target, profile in dict.fromkeys((r.target, r.profile) for r in rules):
         own = [r for r in rules if (r.target, r.profile) == (target, profile)]
@@ -67,10 +87,12 @@ def apply_rules(
     return df.select(*columns)
 
 
-def is_profile(names: list[str], profiles: list[str] | None) -> Column:
-    if profiles is None or set(profiles) <= set(names):
-        return F.lit(True)
-    return F.col(PROFILE).isin(sorted(names))
+def gate_state(names: list[str], gates: dict[str, Column]) -> Column:
+    """State of the gates as a number, one base-3 digit per gate."""
+    state = F.lit(0)
+    for name in names:
+        state = state * 3 + F.when(gates[name], 1).when(~gates[name], 0).otherwise(2)
+    return state
 
 
 def _look_up(df, by_target, gates, profiles):
@@ -79,25 +101,30 @@ def _look_up(df, by_target, gates, profiles):
     texts: dict[str, Column] = {}
     lookups = []
     for target, by_profile in by_target.items():
-        rows = [(p, state, start, text) for p, run in by_profile.items() for state, start, text in R.fold(run)]
-        on = {"_head_" + target: (2, norm(head(target)))}
-        if profiles is not None:
-            on[PROFILE] = (0, F.col(PROFILE))
-        state = None
+        rows = [
+            (start, profiles.bits[p], int(state or "0", 3), text)
+            for p, run in by_profile.items() for state, start, text in R.fold(run)
+        ]
+        on = {"_head_" + target: 0}
+        keys["_head_" + target] = norm(head(target))
+        if profiles.several:
+            on[Profiles.BIT] = 1
+        gated: dict[tuple[str, ...], list[str]] = {}
         for p, run in by_profile.items():
-            if names := R.gate_names(run):
-                digits = F.concat(*[truth_digit(gates[n]) for n in names])
-                mine = is_profile([p], profiles)
-                state = F.when(mine, digits) if state is None else state.when(mine, digits)
-        if state is not None:
-            on["_state_" + target] = (1, state.otherwise(""))
+            gated.setdefault(tuple(R.gate_names(run)), []).append(p)
+        if any(gated):
+            state = F.lit(0)
+            for names, members in gated.items():
+                if names:
+                    state = F.when(profiles.any_of(members), gate_state(names, gates)).otherwise(state)
+            on["_state_" + target] = 2
+            keys["_state_" + target] = state
         found = "_text_" + target
         lookup = local_table(df.sparkSession, {
-            **{name: [row[place] for row in rows] for name, (place, _) in on.items()},
+            **{name: [row[place] for row in rows] for name, place in on.items()},
             found: [row[3] for row in rows],
         })
         lookups.append((F.broadcast(lookup) if len(rows) <= BROADCAST_RULES else lookup, list(on)))
-        keys.update({name: c for name, (_, c) in on.items() if name != PROFILE})
         texts[target] = F.when(F.col(found).isNotNull(), regroup(F.col(found), target)).otherwise(F.col(target))
     df = df.withColumns(keys)
     for lookup, on in lookups:
@@ -105,23 +132,32 @@ def _look_up(df, by_target, gates, profiles):
     return df.withColumns(texts)
 
 
+ARROW_TYPES = {"_bit": pa.int64(), "_state": pa.int32()}
+
+
 def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
-    """A few driver-side strings as a DataFrame."""
-    return spark.createDataFrame(pa.table({c: pa.array(v, pa.string()) for c, v in columns.items()}))
+    """A few driver-side rows as a DataFrame."""
+    return spark.createDataFrame(pa.table({
+        c: pa.array(v, next((t for start, t in ARROW_TYPES.items() if c.startswith(start)), pa.string()))
+        for c, v in columns.items()
+    }))
 
 
 def _other_rules(df, by_target, rules, gates, profiles):
-    """All rules that are no lookup: at most one per row, as CASE branches."""
+    """All rules that are no lookup, as CASE branches; profiles with the same rule share one."""
     rounds = max(len(run) for by_profile in by_target.values() for run in by_profile.values())
     for i in range(rounds):
         texts = {}
         for target, by_profile in by_target.items():
+            same: dict[tuple, list[R.Rule]] = {}
+            for run in by_profile.values():
+                for rule in run[i:i + 1]:
+                    beside = tuple(R.siblings(rules, rule)) if rule.kind == R.DEFAULT else ()
+                    same.setdefault((rule.kind, rule.group, rule.values, rule.gate, beside), []).append(rule)
             text = None
-            for profile, run in by_profile.items():
-                if i >= len(run):
-                    continue
-                rule = run[i]
-                holds = is_profile([profile], profiles) & condition(rule, target, rules)
+            for members in same.values():
+                rule = members[0]
+                holds = profiles.any_of([r.profile for r in members]) & condition(rule, target, rules)
                 if rule.gate:
                     holds = holds & _gate(gates, rule.gate)
                 value = F.lit(rule.group) if rule.kind == R.ASSIGN else regroup(rule.group, target)

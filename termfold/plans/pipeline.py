@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from termfold.functions.text import blank, class_key, head, like_any, norm_text, one_of
 from termfold.operators import joins
-from termfold.operators.classes import KEY, add_warnings, class_sizes, report, set_units
-from termfold.operators.coarsen import PROFILE, apply_rules, duplicate, is_profile
+from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, class_sizes, report, set_units
+from termfold.operators.coarsen import PROFILE, Profiles, apply_rules, duplicate, local_table
 from termfold.operators.staging import staged
 from termfold.plans import fixed_values as V
 from termfold.plans.profiles import PROFILES, Profile
@@ -38,20 +38,51 @@ def gates() -> dict[str, Column]:
     }
 
 
-def profile_column(terms: DataFrame, profiles: list[Profile]) -> Column:
-    """Profile name of a term's class; NULL for a class without a profile."""
+def tag(terms: DataFrame, profiles: list[Profile]) -> DataFrame:
+    """Terms of the profiles' classes, with the name (and bit) of their profile."""
+    df = class_subset(terms.withColumn("_class", class_of(terms)), [p.class_value for p in profiles])
     if len(profiles) == 1:
-        return F.lit(profiles[0].name)
-    key = class_of(terms)
-    first, *rest = profiles
-    out = F.when(key == norm_text(first.class_value), first.name)
-    for p in rest:
-        out = out.when(key == norm_text(p.class_value), p.name)
-    return out
+        return df.drop("_class").withColumn(PROFILE, F.lit(profiles[0].name))
+    table = local_table(df.sparkSession, {
+        "_class": [norm_text(p.class_value) for p in profiles],
+        PROFILE: [p.name for p in profiles],
+        Profiles.BIT: list(run_of(profiles).bits.values()),
+    })
+    return df.join(F.broadcast(table), "_class").drop("_class")
+
+
+def run_of(profiles: list[Profile]) -> Profiles:
+    return Profiles([p.name for p in profiles])
 
 
 def _those(profiles: list[Profile], test: Callable[[Profile], object]) -> Column:
-    return is_profile([p.name for p in profiles if test(p)], [p.name for p in profiles])
+    return run_of(profiles).any_of([p.name for p in profiles if test(p)])
+
+
+def equiv_key(profiles: list[Profile]) -> Column:
+    """EQUIV_CLS of terms that follow different profiles.
+
+    Where all keys are parts of one column order, the parts a profile lacks are
+    NULL, which concat_ws leaves out.
+    """
+    if len(profiles) == 1:
+        return class_key(profiles[0].key)
+    order = [c for c in KEY_ORDER if any(c in p.key for p in profiles)]
+    if any(list(p.key) != [c for c in order if c in p.key] for p in profiles):
+        out = None
+        for columns in dict.fromkeys(p.key for p in profiles):
+            mine = _those(profiles, lambda p: p.key == columns)
+            out = F.when(mine, class_key(columns)) if out is None else out.when(mine, class_key(columns))
+        return out
+    parts = [
+        F.when(_those(profiles, lambda p: c in p.key), F.coalesce(F.col(c), F.lit(""))) for c in order
+    ]
+    return F.concat_ws("|", *parts)
+
+
+KEY_ORDER = (
+    "COMPONENT", "COMPONENT_REV", "PROPERTY_REV", "TIME_REV", "SYSTEM_REV", "SCALE_REV", "METHOD_REV",
+)
 
 
 def key_terms(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups()) -> DataFrame:
@@ -59,7 +90,7 @@ def key_terms(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Loo
 
     All classes take the same steps in one pass: projections and broadcast lookups.
     """
-    df = class_subset(terms.withColumn(PROFILE, profile_column(terms, profiles)), [p.class_value for p in profiles])
+    df = tag(terms, profiles)
 
     rules = [r for p in profiles for r in p.rule_list()]
     used = {r.gate.lstrip("!") for r in rules if r.gate}
@@ -73,13 +104,8 @@ def key_terms(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Loo
     if "COMPONENT_HATLESS" in pairs:
         df = df.withColumn("COMPONENT_HATLESS", head("COMPONENT_HATLESS"))
 
-    df = apply_rules(df, rules, {n: g for n, g in gates().items() if n in used}, [p.name for p in profiles])
-
-    key = None
-    for columns in dict.fromkeys(p.key for p in profiles):
-        of = _those(profiles, lambda p: p.key == columns)
-        key = F.when(of, class_key(columns)) if key is None else key.when(of, class_key(columns))
-    return df.withColumn(KEY, key).drop("_std")
+    df = apply_rules(df, rules, {n: g for n, g in gates().items() if n in used}, run_of(profiles))
+    return df.withColumn(KEY, equiv_key(profiles)).drop("_std")
 
 
 def enrich(keyed: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups()) -> DataFrame:
@@ -95,7 +121,7 @@ def enrich(keyed: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookup
         if any(w != warned[0] for w in warned):
             raise ValueError("profiles with different warnings cannot run together")
         df = add_warnings(df, warned[0], _those(profiles, lambda p: p.warnings))
-    return df
+    return df.drop(Profiles.BIT)
 
 
 def coarsen(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups()) -> DataFrame:
@@ -108,11 +134,16 @@ def run(
     """Review report of the profiles' classes.
 
     Class sizes come first, from the key columns alone; the report then reads the
-    terms once more with everything it shows.
+    terms once more with everything it shows. Of several profiles, each shows an
+    attribute only where it revises it.
     """
     keyed = key_terms(terms, profiles, lookups)
     sizes = staged(class_sizes(keyed, [PROFILE]))
-    return report(enrich(keyed, profiles, lookups), [PROFILE], sizes, ordered)
+    df = enrich(keyed, profiles, lookups)
+    if len(profiles) > 1:
+        shown = {s: r for r, s in REVISED_PAIRS.items() if r in df.columns}
+        df = df.withColumns({s: F.when(F.col(r).isNotNull(), F.col(s)) for s, r in shown.items()})
+    return report(df, [PROFILE], sizes, ordered)
 
 
 def run_edited(
