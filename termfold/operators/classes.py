@@ -67,7 +67,7 @@ def sections(count: Column) -> Column:
 def heading_rows(sizes: DataFrame) -> DataFrame:
     """Heading row of each class: the key, and the size as text."""
     return sizes.select(
-        *[c for c in sizes.columns if c not in (KEY, COUNT)],
+        *[c for c in sizes.columns if c != KEY],
         F.lit(HEADING).alias("row_kind"),
         F.col(KEY).alias("Heading"),
         F.col(COUNT).cast("string").alias(COUNT_FIELD),
@@ -78,7 +78,7 @@ def heading_rows(sizes: DataFrame) -> DataFrame:
 def blank_rows(sizes: DataFrame) -> DataFrame:
     """Spacer row that follows each class."""
     return sizes.select(
-        *[c for c in sizes.columns if c not in (KEY, COUNT)],
+        *[c for c in sizes.columns if c != KEY],
         F.lit(BLANK).alias("row_kind"),
         F.lit("").alias("Heading"),
         F.lit("").alias(COUNT_FIELD),
@@ -87,9 +87,7 @@ def blank_rows(sizes: DataFrame) -> DataFrame:
 
 
 def member_rows(counted: DataFrame) -> DataFrame:
-    return counted.drop(COUNT).withColumns(
-        {"row_kind": F.lit(MEMBER), "Heading": F.lit(""), "SORT_ORDER": F.col(KEY)}
-    )
+    return counted.withColumns({"row_kind": F.lit(MEMBER), "Heading": F.lit(""), "SORT_ORDER": F.col(KEY)})
 
 
 def report_columns(df: DataFrame) -> list[str]:
@@ -110,21 +108,20 @@ def report(
 ) -> DataFrame:
     """Review report: heading, member and blank rows, in both sections.
 
-    ``sizes``: staged class sizes, if known already. Ordered by class, kind of row
-    and LOINC_NUM: LOINC_NUM is part of the sort key, so the range partitions of a
-    large class are split like any others.
+    ``sizes``: staged class sizes, if known already. The rows are sorted by class,
+    kind of row and LOINC_NUM before they are listed in their sections, so each row is
+    shuffled once and each section, read by itself, is in order. LOINC_NUM is part of
+    the sort key: the range partitions of a large class are split like any others.
     """
     by = by or []
     columns = report_columns(df)
     sizes = staged(class_sizes(df, by)) if sizes is None else sizes
-    df = df.select(*by, *columns)
-    in_sections = F.explode(sections(F.col(COUNT))).alias("section")
-    listed = sizes.select("*", in_sections)
-    members = member_rows(add_class_counts(df, by, sizes).select("*", in_sections))
     rows = (
-        members.unionByName(heading_rows(listed), allowMissingColumns=True)
-        .unionByName(blank_rows(listed), allowMissingColumns=True)
+        member_rows(add_class_counts(df.select(*by, *columns), by, sizes))
+        .unionByName(heading_rows(sizes), allowMissingColumns=True)
+        .unionByName(blank_rows(sizes), allowMissingColumns=True)
     )
     if ordered:
-        rows = rows.orderBy(*by, "section", CLASS, "row_kind", "LOINC_NUM")
-    return rows.select(*by, "section", "row_kind", "Heading", *columns, "SORT_ORDER")
+        rows = rows.orderBy(*by, CLASS, "row_kind", "LOINC_NUM")
+    listed = F.explode(sections(F.col(COUNT))).alias("section")
+    return rows.select(*by, listed, "row_kind", "Heading", *columns, "SORT_ORDER")

@@ -13,10 +13,11 @@ from termfold.functions.text import blank, class_key, head, like_any, norm_text,
 from termfold.operators import joins
 from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, class_sizes, report, set_units
 from termfold.operators.coarsen import PROFILE, Profiles, apply_rules, duplicate, local_table
+from termfold.operators.rules import EQ
 from termfold.operators.staging import staged
 from termfold.plans import fixed_values as V
 from termfold.plans.profiles import PROFILES, Profile
-from termfold.sources.terms import class_of, class_subset
+from termfold.sources.terms import CLASS_KEY, class_of, class_subset
 
 
 @dataclass(frozen=True)
@@ -125,9 +126,31 @@ def enrich(keyed: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookup
 
 
 def coarsen(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups()) -> DataFrame:
+    """Keyed and enriched terms of profiles that run in one pass."""
     return enrich(key_terms(terms, profiles, lookups), profiles, lookups)
 
 
+def families(terms: DataFrame, profiles: list[Profile]) -> list[list[Profile]]:
+    """Profiles that share a pass: those with the same gates and kinds of rules.
+
+    Together, all the conditions make one generated method that is too large for
+    the JVM to compile. Terms stored by class are read once all the same, each family taking
+    its own partitions; other terms would be read once per family and stay together.
+    """
+    if CLASS_KEY not in terms.columns:
+        return [profiles]
+    alike: dict[frozenset, list[Profile]] = {}
+    for p in profiles:
+        rules = p.rule_list()
+        traits = {r.kind for r in rules if r.kind != EQ} | {r.gate.lstrip("!") for r in rules if r.gate}
+        alike.setdefault(frozenset(traits), []).append(p)
+    return list(alike.values())
+
+
+def together(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def run(
     terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups(), ordered: bool = True
 ) -> DataFrame:
@@ -137,9 +160,9 @@ def run(
     terms once more with everything it shows. Of several profiles, each shows an
     attribute only where it revises it.
     """
-    keyed = key_terms(terms, profiles, lookups)
-    sizes = staged(class_sizes(keyed, [PROFILE]))
-    df = enrich(keyed, profiles, lookups)
+    keyed = [(key_terms(terms, family, lookups), family) for family in families(terms, profiles)]
+    sizes = staged(class_sizes(together([k.select(PROFILE, KEY) for k, _ in keyed]), [PROFILE]))
+    df = together([enrich(k, family, lookups) for k, family in keyed])
     if len(profiles) > 1:
         shown = {s: r for r, s in REVISED_PAIRS.items() if r in df.columns}
         df = df.withColumns({s: F.when(F.col(r).isNotNull(), F.col(s)) for s, r in shown.items()})

@@ -157,11 +157,11 @@ def multi_member_q(s: Sample) -> DataFrame:
 
 
 def heading_rows_q(s: Sample) -> DataFrame:
-    return C.heading_rows(C.class_sizes(keyed(s), [])).drop(C.CLASS)
+    return C.heading_rows(C.class_sizes(keyed(s), [])).drop(C.CLASS, C.COUNT)
 
 
 def blank_rows_q(s: Sample) -> DataFrame:
-    return C.blank_rows(C.class_sizes(keyed(s), [])).drop(C.CLASS)
+    return C.blank_rows(C.class_sizes(keyed(s), [])).drop(C.CLASS, C.COUNT)
 
 
 def report_q(s: Sample) -> DataFrame:

@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from termfold.functions.text import working_name
+from termfold.functions.text import norm, working_name
+from termfold.operators.classes import BLANK
 from termfold.operators.coarsen import PROFILE
+from termfold.plans import fixed_values as V
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the output at ``path``; rows keep the report's order within and across files."""
-    writer = report.write.mode("overwrite").partitionBy(PROFILE, "section")
+    """Replace the output at ``path``; the files of a class and section are in report order.
+
+    The report is range partitioned in that order already: what is left is to put the
+    sections of each partition one after the other.
+    """
+    rows = report.sortWithinPartitions(PROFILE, "section", sort_class("SORT_ORDER"), "row_kind", "LOINC_NUM")
+    writer = rows.write.mode("overwrite").partitionBy(PROFILE, "section")
     if fmt == "csv":
-        writer = writer.option("header", True).option("quoteAll", True).option("nullValue", "")
+        writer = writer.option("header", True).option("quoteAll", True)
     writer.format(fmt).save(path)
 
 
+def sort_class(order: str) -> Column:
+    """Class of a report row, from its sort order."""
+    end = -len(V.BLANK_ROW_SUFFIX)
+    bare = F.when(F.col("row_kind") == BLANK, F.expr(f"left({order}, length({order}) {end})")).otherwise(F.col(order))
+    return norm(bare)
+
+
 def results_path(path: str, class_value: str, section: str) -> str:
     """Directory of one class and section below a report's path."""
     return f"{path}/{PROFILE}={working_name(class_value)}/section={section}"
