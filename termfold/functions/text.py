@@ -94,7 +94,8 @@ def one_of(c: Column | str, values: list[str]) -> Column:
 
 def class_key(columns: list[str]) -> Column:
     """Values joined with ``|``; NULL counts as empty text."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    parts = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '')" for c in columns)
+    return F.expr(f"concat_ws('|', {parts})")
 
 
 def revised_name(source: str) -> str:

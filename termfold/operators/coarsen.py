@@ -57,7 +57,7 @@ class Profiles:
         mask = sum(self.bits[n] for n in set(names))
         if mask == sum(self.bits.values()):
             return F.lit(True)
-        return F.col(self.BIT).bitwiseAND(F.lit(mask).cast("long")) != 0
+        return F.expr(f"({self.BIT} & {mask}L) <> 0")
 
 
 def apply_rules(

@@ -97,7 +97,10 @@ def add_molecular_weights(
 
 
 def components_like(terms: DataFrame, detail: DataFrame, patterns: list[str]) -> DataFrame:
-    """Distinct COMPONENTs, over all classes, whose core part is like a pattern."""
+    """Distinct COMPONENTs, over all classes, whose core part is like a pattern.
+
+    A LOINC_NUM names one term, so the join needs no care for hot keys.
+    """
     numbers = (
         detail.where(like_any("COMPONENTCORE", patterns))
         .select(norm("LOINC_NUM").alias("_num"))
@@ -148,7 +151,10 @@ def override_by_core(
     terms: DataFrame, source: str, column: str, mapping: DataFrame, group_column: str,
     detail: DataFrame, groupers: DataFrame,
 ) -> DataFrame:
-    """Second mapping of a column for terms whose core component has a grouper."""
+    """Second mapping of a column for terms whose core component has a grouper.
+
+    A LOINC_NUM names one term, so that join needs no care for hot keys.
+    """
     cores = (
         groupers.where(F.col("STDGrouper").isNotNull() & F.col("Name").isNotNull())
         .select(norm("Name").alias("_core"), F.lit(True).alias("_has"))
@@ -161,6 +167,6 @@ def override_by_core(
         .distinct()
     )
     keyed = terms.withColumns({"_num": norm("LOINC_NUM"), "_name": norm(source)})
-    found = lookup_join(lookup_join(keyed, numbers, ["_num"]), mapping_groups(mapping, group_column), ["_name"])
+    found = lookup_join(keyed, mapping_groups(mapping, group_column), ["_name"]).join(numbers, "_num", "left")
     text = F.when(F.col("_listed") & F.col("_group").isNotNull(), F.col("_group")).otherwise(F.col(column))
     return found.withColumn(column, text).drop("_num", "_listed", "_name", "_group")

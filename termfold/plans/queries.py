@@ -14,7 +14,7 @@ from termfold.operators.rules import assign, groups, rules_of
 from termfold.plans import fixed_values as V
 from termfold.plans import legacy, pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES, all_rules
-from termfold.sources.rulebook import rule_hits, rule_table
+from termfold.sources.rulebook import rule_hits
 from termfold.sources.sample import Sample
 from termfold.sources.terms import class_subset
 
@@ -40,7 +40,7 @@ def class_subset_q(s: Sample) -> DataFrame:
 def rule_table_q(s: Sample) -> DataFrame:
     sources = {revised: source for p in PROFILES for revised, source in p.copies().items()
                if revised != "COMPONENT_HATLESS"}
-    return rule_hits(pipeline.tag(s.terms, PROFILES), rule_table(s.spark, all_rules()), sources)
+    return rule_hits(pipeline.tag(s.terms, PROFILES), all_rules(), sources)
 
 
 def dup_column_q(s: Sample) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,11 @@ MAX_RULE_ROWS = 100_000
 
 def rule_table(spark: SparkSession, rules: list[R.Rule]) -> DataFrame:
     """Rules in long form, one row per value."""
-    return spark.createDataFrame(R.to_rows(rules), R.LONG_SCHEMA)
+    columns = list(zip(*R.to_rows(rules)))
+    return spark.createDataFrame(pa.table({
+        name: pa.array(values, pa.int32() if kind == "int" else pa.string())
+        for (name, kind), values in zip((c.split() for c in R.LONG_SCHEMA.split(",")), columns)
+    }))
 
 
 def read_rules(table: DataFrame) -> list[R.Rule]:
@@ -34,13 +39,14 @@ def read_spec(path: str) -> dict:
         return json.load(f)
 
 
-def rule_hits(terms: DataFrame, table: DataFrame, sources: dict[str, str]) -> DataFrame:
+def rule_hits(terms: DataFrame, rules: list[R.Rule], sources: dict[str, str]) -> DataFrame:
     """Number of terms whose original head equals each listed value.
 
     ``sources``: revised column -> original column. Heads that no rule lists are
     dropped before the count, so little is shuffled.
     """
     keys = ["profile", "target_col", "_value"]
+    table = rule_table(terms.sparkSession, rules)
     listed = table.where(F.col("kind").isin(R.EQ, R.EXCEPT_VALUES)).withColumn("_value", norm("value"))
     heads = terms.select(
         "profile",

@@ -1 +1,5 @@
+"""Nothing of its own: the work is a full batch run over the term table.
 
+``plans.pipeline.key_terms`` is made of projections and broadcast lookups, so it also
+takes a streaming DataFrame as it is (see the tests).
+"""
