@@ -50,7 +50,7 @@ def main() -> None:
     total = round(sum(v for k, v in times.items() if k != "ingest"), 3)
     print(json.dumps({
         "metric": "headline queries, median of 3, total", "value": total, "unit": "sec", "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
     }))
 
 

@@ -95,12 +95,12 @@ def terms_sql(dialect: str, orders: str = "orders") -> str:
 
 
 def detail_sql(terms: str = "terms") -> str:
-    """Core component of the terms; some terms have none."""
+    """Core component of the terms; some rows belong to no term."""
     return f"""
-    SELECT LOINC_NUM,
+    SELECT CASE WHEN ID % 10 = 9 THEN concat('other ', LOINC_NUM) ELSE LOINC_NUM END AS LOINC_NUM,
            CASE WHEN COMPONENT LIKE '%^%' THEN substr(COMPONENT, 1, instr(COMPONENT, '^') - 1)
                 ELSE COMPONENT END AS COMPONENTCORE
-    FROM {terms} WHERE ID % 10 <> 9"""
+    FROM {terms}"""
 
 
 def part_sql(dialect: str, part: str = "part") -> str:
@@ -115,11 +115,11 @@ def part_sql(dialect: str, part: str = "part") -> str:
 
 
 def weights_sql(part: str = "part") -> str:
-    """Weights of some parts, in other spelling."""
+    """Weights in another spelling; some belong to no part."""
     return f"""
-    SELECT concat('lp', CAST(p_partkey AS VARCHAR(20)), ' ') AS PartNum,
+    SELECT concat(CASE WHEN p_partkey % 3 = 0 THEN 'xx' ELSE 'lp' END, CAST(p_partkey AS VARCHAR(20)), ' ') AS PartNum,
            p_retailprice AS Molecular_weight_COMBINED
-    FROM {part} WHERE p_partkey % 3 <> 0"""
+    FROM {part}"""
 
 
 def mapping_rows() -> dict[str, list[tuple]]:
