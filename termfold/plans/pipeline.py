@@ -29,14 +29,17 @@ class Lookups:
     weights: DataFrame | None = None       # PartNum, Molecular_weight_COMBINED
 
 
-def gates() -> dict[str, Column]:
+GATES: dict[str, Callable[[], Column]] = {
+    "oxygen": lambda: one_of("COMPONENT_HATLESS", V.OXYGEN_COMPONENTS),
+    "rast": lambda: like_any("COMPONENT", V.RAST_PATTERNS),
+    "std": lambda: F.col("_std"),
+    "antibody_without_method": lambda: blank("METHOD_TYP") & like_any("COMPONENT", V.ANTIBODY_PATTERNS),
+}
+
+
+def gates(names: set[str]) -> dict[str, Column]:
     """Conditions that rules refer to by name."""
-    return {
-        "oxygen": one_of("COMPONENT_HATLESS", V.OXYGEN_COMPONENTS),
-        "rast": like_any("COMPONENT", V.RAST_PATTERNS),
-        "std": F.col("_std"),
-        "antibody_without_method": blank("METHOD_TYP") & like_any("COMPONENT", V.ANTIBODY_PATTERNS),
-    }
+    return {name: GATES[name]() for name in sorted(names)}
 
 
 def tag(terms: DataFrame, profiles: list[Profile]) -> DataFrame:
@@ -105,7 +108,7 @@ def key_terms(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Loo
     if "COMPONENT_HATLESS" in pairs:
         df = df.withColumn("COMPONENT_HATLESS", head("COMPONENT_HATLESS"))
 
-    df = apply_rules(df, rules, {n: g for n, g in gates().items() if n in used}, run_of(profiles))
+    df = apply_rules(df, rules, gates(used), run_of(profiles))
     return df.withColumn(KEY, equiv_key(profiles)).drop("_std")
 
 
@@ -133,9 +136,10 @@ def coarsen(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Looku
 def families(terms: DataFrame, profiles: list[Profile]) -> list[list[Profile]]:
     """Profiles that share a pass: those with the same gates and kinds of rules.
 
-    Together, all the conditions make one generated method that is too large for
-    the JVM to compile. Terms stored by class are read once all the same, each family taking
-    its own partitions; other terms would be read once per family and stay together.
+    All conditions together make one generated method that is too large for the JVM
+    to compile. Profiles with at most one gate or kind besides equality share a pass
+    too. Terms stored by class are read once all the same, each family taking its own
+    partitions; other terms would be read once per family, so there is one pass.
     """
     if CLASS_KEY not in terms.columns:
         return [profiles]
@@ -143,7 +147,7 @@ def families(terms: DataFrame, profiles: list[Profile]) -> list[list[Profile]]:
     for p in profiles:
         rules = p.rule_list()
         traits = {r.kind for r in rules if r.kind != EQ} | {r.gate.lstrip("!") for r in rules if r.gate}
-        alike.setdefault(frozenset(traits), []).append(p)
+        alike.setdefault(frozenset(traits if len(traits) > 1 else ()), []).append(p)
     return list(alike.values())
 
 

@@ -85,7 +85,7 @@ def gated_group_q(s: Sample) -> DataFrame:
     df = K.hatless(df, "COMPONENT")
     steps = [groups("SYSTEM", {"Intravascular-any": V.SHARED_SYSTEM["Intravascular-any"]}, gate="!oxygen"),
              groups("SYSTEM", V.CHEM_SYSTEM_OXYGEN, gate="oxygen")]
-    return apply_rules(df, rules_of("", steps), pipeline.gates()).drop("COMPONENT_HATLESS")
+    return apply_rules(df, rules_of("", steps), pipeline.gates({"oxygen"})).drop("COMPONENT_HATLESS")
 
 
 def rast_gate_q(s: Sample) -> DataFrame:
@@ -97,7 +97,7 @@ def rast_gate_q(s: Sample) -> DataFrame:
 def antibody_null_method_q(s: Sample) -> DataFrame:
     df = K.dup_column(s.terms.select("LOINC_NUM", "COMPONENT", "METHOD_TYP"), "METHOD_TYP", "METHOD_REV")
     return apply_rules(df, rules_of("", [assign("METHOD_TYP", V.ANTIBODY_GROUP, "antibody_without_method")]),
-                       pipeline.gates())
+                       pipeline.gates({"antibody_without_method"}))
 
 
 def std_components_q(s: Sample) -> DataFrame:

@@ -1,6 +1,7 @@
 """Report layout, skewed keys, and the plans behind them."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,17 @@ def test_coarsening_is_broadcast_lookups_only(sample):
         assert bad not in text
 
 
+def test_generated_methods_can_be_compiled(spark, sample, lookups):
+    """HotSpot interprets methods of 8,000 bytes and more."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(pipeline.run(sample.terms, PROFILES, lookups), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) > 3 and max(sizes) < 8000
+
+
 def test_class_sizes_read_only_key_columns(sample):
     text = plan(C.class_sizes(pipeline.key_terms(sample.terms, [BY_NAME["UA"]]), ["profile"]))
     schema = text.split("ReadSchema: struct<")[1].split(">")[0]
