@@ -20,7 +20,9 @@ def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
     rows = report.sortWithinPartitions(PROFILE, "section", sort_class("SORT_ORDER"), "row_kind", "LOINC_NUM")
     writer = rows.write.mode("overwrite").partitionBy(PROFILE, "section")
     if fmt == "csv":
-        writer = writer.option("header", True).option("quoteAll", True)
+        writer = writer.options(
+            header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(fmt).save(path)
 
 

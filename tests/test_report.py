@@ -70,6 +70,13 @@ def test_one_class_equals_its_part_of_all(sample, lookups, full):
     assert sorted(map(str, one.values.tolist())) == sorted(map(str, same.values.tolist()))
 
 
+def test_terms_not_stored_by_class_take_one_pass(sample, lookups, full):
+    terms = sample.derived_terms()
+    assert len(pipeline.families(terms, PROFILES)) == 1 < len(pipeline.families(sample.terms, PROFILES))
+    got = pipeline.run(terms, PROFILES, lookups).toPandas()
+    assert sorted(map(str, got.values.tolist())) == sorted(map(str, full[list(got.columns)].values.tolist()))
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_report_is_written_per_class_and_section(spark, sample, full, tmp_path, fmt):
     path = str(tmp_path / fmt)
@@ -78,8 +85,13 @@ def test_report_is_written_per_class_and_section(spark, sample, full, tmp_path,
     write_report(report, path, fmt)
     where = results_path(path, "HEM/BC", "all groups")
     assert os.path.isdir(where)
-    got = spark.read.format(fmt).option("header", True).load(where).count()
-    assert got == len(full[(full.profile == "HEMBC") & (full.section == "all groups")])
+    got = spark.read.format(fmt).option("header", True).load(where)
+    want = full[(full.profile == "HEMBC") & (full.section == "all groups")]
+    assert got.count() == len(want)
+    files = sorted(f for f in os.listdir(where) if f.startswith("part-"))
+    stored = [r.SORT_ORDER for f in files for r in
+              spark.read.format(fmt).option("header", True).load(f"{where}/{f}").coalesce(1).collect()]
+    assert stored == want.SORT_ORDER.tolist()
 
 
 def test_stored_terms_are_pruned_by_class(spark, sample, tmp_path):
