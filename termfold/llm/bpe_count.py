@@ -23,7 +23,7 @@ from termfold.llm.shared import ship_package, table
 
 LIMIT = 1024
 #: Characters that the tokenizer's pattern takes for white space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Chunks whose count a worker keeps, and their longest length; beyond, it starts anew.
 KEPT, KEPT_CHARS = 400_000, 48

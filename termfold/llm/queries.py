@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import bpe_count, bpe_tree, mixing, simhash
+from termfold.llm import bpe_count, bpe_tree, mixing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": mixing.op5_mixing,
     "op6_bpe": bpe_tree.op6_bpe,
     "op7_token_counts": bpe_count.op7_token_counts,
+    "op8_token_files": token_files.op8_token_files,
     "op9_simhash": simhash.op9_simhash,
 }
 
