@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import bpe_count, bpe_tree, mixing, simhash, token_files
+from termfold.llm import ann, bpe_count, bpe_tree, mixing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": mixing.op5_mixing,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": bpe_count.op7_token_counts,
     "op8_token_files": token_files.op8_token_files,
     "op9_simhash": simhash.op9_simhash,
+    "op10_ann": ann.op10_ann,
 }
 
 ORACLE_SQL: dict[str, str] = {
