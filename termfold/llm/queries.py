@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import ann, bpe_count, bpe_tree, mixing, pii, simhash, token_files
+from termfold.llm import ann, bpe_count, bpe_tree, mixing, pii, quality, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": quality.op1_quality,
     "op3_pii": pii.op3_pii,
     "op5_mixing": mixing.op5_mixing,
     "op6_bpe": bpe_tree.op6_bpe,
