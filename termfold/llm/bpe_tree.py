@@ -269,8 +269,11 @@ def _texts(column: pa.Array) -> list[bytes]:
 def _encode(batches, path: str):
     c = codec(path)
     for b in batches:
-        ids = [x.tolist() for x in encode_texts(c.words, _texts(b.column(1)))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        ids = list(encode_texts(c.words, _texts(b.column(1))))
+        ends = np.cumsum([0, *map(len, ids)])
+        flat = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["doc_id", "ids"])
 
 
 def _decode(batches, path: str):

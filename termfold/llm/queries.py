@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import ann, bpe_count, bpe_tree, main_text, mixing, pii, quality, simhash, token_files
+from termfold.llm import ann, bpe_count, bpe_tree, jaccard, main_text, mixing, pii, quality, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.op1_quality,
+    "op2_jaccard": jaccard.op2_jaccard,
     "op3_pii": pii.op3_pii,
     "op4_main_text": main_text.op4_main_text,
     "op5_mixing": mixing.op5_mixing,
