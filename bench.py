@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 from termfold.plans.queries import queries
 from termfold.sources.sample import Sample
 
-NAMES = ["all_classes", "class_micro", "class_chem", "class_drugtox", "class_sero", "class_ua",
+NAMES = ["all_classes", "report_output", "rule_table_apply", "class_micro", "class_chem", "class_drugtox", "class_sero", "class_ua",
          "class_micro_legacy", "class_counts", "report", "molecular_weights", "rule_table"]
 
 
@@ -26,6 +27,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="termfold-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

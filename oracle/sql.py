@@ -405,6 +405,31 @@ def gated_group_sql() -> str:
     return c.group("SYSTEM_REV", IV, f"NOT ({oxygen})").group("SYSTEM_REV", V.CHEM_SYSTEM_OXYGEN, oxygen).sql()
 
 
+def rule_table_apply_sql() -> str:
+    rules = """SELECT s_suppkey AS seq, concat('analyte ', s_suppkey) AS value, CASE WHEN s_suppkey % 3 = 0
+        THEN concat('Analyte ', s_suppkey + 1, '^next') ELSE concat('Nation ', s_nationkey) END AS grp FROM supplier"""
+    once = f"coalesce(a.grp || {suf('t.COMPONENT')}, t.COMPONENT)"
+    return f"""WITH {TERMS}, rules AS ({rules}), one AS (
+        SELECT t.LOINC_NUM, a.seq, {once} AS c FROM terms t LEFT JOIN rules a ON a.value = {n(h('t.COMPONENT'))})
+        SELECT one.LOINC_NUM, coalesce(b.grp || {suf('one.c')}, one.c) AS COMPONENT
+        FROM one LEFT JOIN rules b ON b.value = {n(h('one.c'))} AND b.seq > one.seq"""
+
+
+def report_output_sql() -> str:
+    return " UNION ALL BY NAME ".join(f"(SELECT * FROM ({class_sql(v)}))" for v in ("FERT", "UA"))
+
+
+def long_keys_sql() -> str:
+    tables, rows = [ALL_TABLES], []
+    for value in CLASSES:
+        c, _ = keyed_class(value)
+        name = value.replace("/", "")
+        tables.append(f"keys_{name} AS (WITH {c.ctes()} SELECT EQUIV_CLS FROM {c.last})")
+        rows.append(f"SELECT {q(name)} AS profile, count(*) FILTER (length(EQUIV_CLS) > 255) AS long_keys, "
+                    f"max(length(EQUIV_CLS)) AS longest FROM keys_{name} GROUP BY 1")
+    return f"WITH {', '.join(tables)} {' UNION ALL '.join(rows)}"
+
+
 def operator_sql() -> dict[str, str]:
     drugtox, columns = keyed_class("DRUG/TOX")
     std = "coalesce({} IN (SELECT k FROM std_list), false)".format(n("COMPONENT"))
@@ -455,6 +480,9 @@ def operator_sql() -> dict[str, str]:
         "legacy_report": legacy_report_sql(),
         "class_micro_legacy": micro_legacy_sql(),
         "all_classes": all_classes_sql(),
+        "rule_table_apply": rule_table_apply_sql(),
+        "report_output": report_output_sql(),
+        "long_keys": long_keys_sql(),
     }
 
 

@@ -1,17 +0,0 @@
-from termfold.functions.text import (
-    blank,
-    class_key,
-    head,
-    like,
-    like_any,
-    norm,
-    regroup,
-    revised_name,
-    suffix,
-    working_name,
-)
-
-__all__ = [
-    "blank", "class_key", "head", "like", "like_any", "norm", "regroup",
-    "revised_name", "suffix", "working_name",
-]

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from termfold.functions.text import head, like, like_any, norm, one_of, regroup
 from termfold.operators import rules as R
+from termfold.operators.joins import lookup_join
 
 PROFILE = "profile"
 
 # Rules come from the driver, so the lookup is as small as they are; above this
-# many rows it is joined without a hint and Spark decides by size.
+# many rows it is measured and joined with care for hot heads.
 BROADCAST_RULES = 50_000
+# Profiles that run together: bits of a number.
+TOGETHER = 63
 
 
 def duplicate(df: DataFrame, pairs: dict[str, str], where: dict[str, Column] | None = None) -> DataFrame:
@@ -45,8 +48,8 @@ class Profiles:
     BIT = "_bit"
 
     def __init__(self, names: list[str]):
-        if len(names) > 63:
-            raise ValueError("at most 63 profiles can run together")
+        if len(names) > TOGETHER:
+            raise ValueError(f"at most {TOGETHER} profiles can share a pass; run() makes several passes of more")
         self.bits = {name: 1 << i for i, name in enumerate(names)}
 
     @property
@@ -124,11 +127,11 @@ def _look_up(df, by_target, gates, profiles):
             **{name: [row[place] for row in rows] for name, place in on.items()},
             found: [row[3] for row in rows],
         })
-        lookups.append((F.broadcast(lookup) if len(rows) <= BROADCAST_RULES else lookup, list(on)))
+        lookups.append((lookup, list(on), len(rows) <= BROADCAST_RULES))
         texts[target] = F.when(F.col(found).isNotNull(), regroup(F.col(found), target)).otherwise(F.col(target))
     df = df.withColumns(keys)
-    for lookup, on in lookups:
-        df = df.join(lookup, on, "left")
+    for lookup, on, small in lookups:
+        df = df.join(F.broadcast(lookup), on, "left") if small else lookup_join(df, lookup, on)
     return df.withColumns(texts)
 
 

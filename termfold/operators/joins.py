@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfold.functions.text import like_any, norm
-from termfold.operators.staging import measure, staged
+from termfold.operators.staging import measure, staged, staged_and_measured
 
 # A key is hot when it holds more than one row in HOT_SHARE, so there are fewer
 # than HOT_SHARE hot keys whatever the size of the data: safe to broadcast.
@@ -57,12 +57,12 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], only: Column |
     The lookup is written once and measured: small, it is broadcast; otherwise the
     hot keys of the left side are, and the rest is shuffled.
     """
-    right = staged(right)
-    if measure(right).broadcastable:
+    right, size = staged_and_measured(right)
+    if size.broadcastable:
         return join_broadcast(left, right, on, only)
     keys = left if only is None else left.where(only)
-    sizes = staged(keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
-    hot = sizes.where(F.col("_rows") * HOT_SHARE > measure(sizes, "_rows").total).select(*on)
+    sizes, counted = staged_and_measured(keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), "_rows")
+    hot = sizes.where(F.col("_rows") * HOT_SHARE > counted.total).select(*on)
     matched = right.join(F.broadcast(hot), on, "left_semi")
     return join_beside_hot(left, right, on, hot.join(F.broadcast(matched), on, "left"), only)
 
@@ -85,7 +85,10 @@ def part_weights(part: DataFrame, weights: DataFrame) -> DataFrame:
     values = weights.groupBy(norm("PartNum").alias("_num")).agg(
         F.min("Molecular_weight_COMBINED").alias("MOLECULAR_WEIGHT")
     )
-    return names.join(values, "_num", "left").select("_part", "MOLECULAR_WEIGHT")
+    # parts without a number have no weight: they stay out of the join, where they would meet in one task
+    numbered = names.where(F.col("_num").isNotNull()).join(values, "_num", "left").select("_part", "MOLECULAR_WEIGHT")
+    weightless = names.where(F.col("_num").isNull()).select("_part", F.lit(None).cast(values.schema["MOLECULAR_WEIGHT"].dataType).alias("MOLECULAR_WEIGHT"))
+    return numbered.union(weightless)
 
 
 def add_molecular_weights(
@@ -99,17 +102,18 @@ def add_molecular_weights(
 def components_like(terms: DataFrame, detail: DataFrame, patterns: list[str]) -> DataFrame:
     """Distinct COMPONENTs, over all classes, whose core part is like a pattern.
 
-    A LOINC_NUM names one term, so the join needs no care for hot keys.
+    The numbers are written and measured; few, they are broadcast and no term is shuffled. Beyond that, a
+    LOINC_NUM names one term, so the join needs no care for hot keys but NULL, which is left out.
     """
-    numbers = (
-        detail.where(like_any("COMPONENTCORE", patterns))
+    numbers, size = staged_and_measured(
+        detail.where(like_any("COMPONENTCORE", patterns) & F.col("LOINC_NUM").isNotNull())
         .select(norm("LOINC_NUM").alias("_num"))
         .distinct()
     )
     return (
         terms.select("COMPONENT", norm("LOINC_NUM").alias("_num"))
-        .where(F.col("COMPONENT").isNotNull())
-        .join(numbers, "_num", "left_semi")
+        .where(F.col("COMPONENT").isNotNull() & F.col("_num").isNotNull())
+        .join(F.broadcast(numbers) if size.broadcastable else numbers, "_num", "left_semi")
         .groupBy(norm("COMPONENT").alias("_component"))
         .agg(F.min("COMPONENT").alias("COMPONENT"))
     )
@@ -151,10 +155,7 @@ def override_by_core(
     terms: DataFrame, source: str, column: str, mapping: DataFrame, group_column: str,
     detail: DataFrame, groupers: DataFrame,
 ) -> DataFrame:
-    """Second mapping of a column for terms whose core component has a grouper.
-
-    A LOINC_NUM names one term, so that join needs no care for hot keys.
-    """
+    """Second mapping of a column for terms whose core component has a grouper."""
     cores = (
         groupers.where(F.col("STDGrouper").isNotNull() & F.col("Name").isNotNull())
         .select(norm("Name").alias("_core"), F.lit(True).alias("_has"))
@@ -167,6 +168,6 @@ def override_by_core(
         .distinct()
     )
     keyed = terms.withColumns({"_num": norm("LOINC_NUM"), "_name": norm(source)})
-    found = lookup_join(keyed, mapping_groups(mapping, group_column), ["_name"]).join(numbers, "_num", "left")
+    found = lookup_join(lookup_join(keyed, mapping_groups(mapping, group_column), ["_name"]), numbers, ["_num"])
     text = F.when(F.col("_listed") & F.col("_group").isNotNull(), F.col("_group")).otherwise(F.col(column))
     return found.withColumn(column, text).drop("_num", "_listed", "_name", "_group")

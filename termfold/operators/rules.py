@@ -9,7 +9,8 @@ per column instead of one pass per group.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from bisect import bisect_right
+from dataclasses import dataclass
 from itertools import product
 
 from termfold.functions.text import HAT, norm_text, revised_name
@@ -99,11 +100,6 @@ def rules_of(profile: str, steps: tuple[Step, ...] | list[Step]) -> list[Rule]:
     return out
 
 
-def borrow(rules: list[Rule], profile: str) -> list[Rule]:
-    """The same rules under another profile name."""
-    return [replace(r, profile=profile) for r in rules]
-
-
 # --- long form ---------------------------------------------------------------
 
 LONG_SCHEMA = (
@@ -141,6 +137,7 @@ def from_rows(rows: list) -> list[Rule]:
 
 def check(rules: list[Rule]) -> list[Rule]:
     """Raise on rules that could only be a mistake."""
+    listed = {(r.profile, r.target, r.block) for r in rules if r.kind == EQ}
     for r in rules:
         if r.kind not in KINDS:
             raise ValueError(f"unknown kind of rule: {r.kind!r}")
@@ -148,7 +145,7 @@ def check(rules: list[Rule]) -> list[Rule]:
             raise ValueError(f"group {r.group!r}: a rule without values needs a gate")
         if r.kind != ASSIGN and not r.values:
             raise ValueError(f"group {r.group!r}: no values")
-        if r.kind == DEFAULT and r.gate and not siblings(rules, r):
+        if r.kind == DEFAULT and r.gate and (r.profile, r.target, r.block) not in listed:
             raise ValueError(f"group {r.group!r}: a gated default group needs other groups beside it")
     return rules
 
@@ -203,20 +200,25 @@ def fold(rules: list[Rule]) -> list[tuple[str, str, str]]:
     """
     names = gate_names(rules)
     heads = list(dict.fromkeys(norm_text(v) for r in rules for v in r.values if HAT not in v))
-    members = [{norm_text(v) for v in r.values} for r in rules]
+    takers: dict[str, list[int]] = {}                          # head -> places of the rules that list it
+    for place, r in enumerate(rules):
+        for v in {norm_text(v) for v in r.values}:
+            takers.setdefault(v, []).append(place)
     out = []
     for digits in product("102", repeat=len(names)):
         truth = dict(zip(names, digits))
-        open_rules = [
-            (r, m) for r, m in zip(rules, members)
-            if r.gate is None or truth[r.gate.lstrip("!")] == ("0" if r.gate.startswith("!") else "1")
+        applies = [
+            r.gate is None or truth[r.gate.lstrip("!")] == ("0" if r.gate.startswith("!") else "1") for r in rules
         ]
         for start in heads:
-            text = None
-            for r, m in open_rules:
+            text, place = None, -1
+            while True:
                 now, hat, parts = (start if text is None else text).partition(HAT)
-                if norm_text(now) in m:
-                    text = r.group + hat + parts
+                later = takers.get(norm_text(now), ())
+                place = next((p for p in later[bisect_right(later, place):] if applies[p]), None)
+                if place is None:
+                    break
+                text = rules[place].group + hat + parts
             if text is not None:
                 out.append(("".join(digits), start, text))
     return out

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,14 @@ BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 64
 
 _local: list[str] = []
+_folders: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it."""
+    """The folder that all executors share, as the session names it.
+
+    Only a local master may do without the setting: its executors are the driver.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
@@ -29,8 +33,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[0]
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects, wherever the path points to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/termfold/{uuid.uuid4().hex}"
+    """A place for one table in the application's own folder, which goes when the application ends."""
+    folder = f"{shared_folder(spark)}/termfold-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        fs, at = file_system(spark, folder)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _folders.add(folder)
+    return f"{folder}/{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -40,6 +57,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_and_measured(df: DataFrame, counted: str | None = None) -> tuple[DataFrame, Size]:
+    """A staged table and its size, counted while it is written."""
+    seen = Observation()
+    table = staged(df.observe(seen, *[c.alias(n) for c, n in zip(_sizes(df, counted), ("rows", "bytes", "total"))]))
+    got = seen.get
+    return table, Size(got["rows"], got["bytes"], got["total"])
+
+
 @dataclass(frozen=True)
 class Size:
     rows: int
@@ -53,10 +78,13 @@ class Size:
 
 def measure(table: DataFrame, counted: str | None = None) -> Size:
     """Rows and bytes of a staged table, and the sum of one of its columns."""
+    return Size(*table.agg(*_sizes(table, counted)).first())
+
+
+def _sizes(table: DataFrame, counted: str | None) -> list[Column]:
     width = F.lit(ROW_OVERHEAD)
     for f in table.schema.fields:
         if isinstance(f.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
-    total = F.sum(counted) if counted else F.lit(0)
-    row = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), F.coalesce(total, F.lit(0))).first()
-    return Size(*row)
+    total = F.sum(counted) if counted else F.sum(F.lit(0))
+    return [F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), F.coalesce(total, F.lit(0))]

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from termfold.functions.text import blank, class_key, head, like_any, norm_text, one_of
 from termfold.operators import joins
 from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, class_sizes, report, set_units
+from termfold.operators.coarsen import TOGETHER
 from termfold.operators.coarsen import PROFILE, Profiles, apply_rules, duplicate, local_table
 from termfold.operators.rules import EQ
 from termfold.operators.staging import staged
 from termfold.plans import fixed_values as V
 from termfold.plans.profiles import PROFILES, Profile
-from termfold.sources.terms import CLASS_KEY, class_of, class_subset
+from termfold.sources.terms import CLASS_KEY, TERM_SCHEMA, class_of, class_subset, require_columns
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,28 @@ class Lookups:
     weights: DataFrame | None = None       # PartNum, Molecular_weight_COMBINED
 
 
+def check_run(terms: DataFrame, profiles: list[Profile], lookups: Lookups) -> None:
+    """Raise before any job if a run lacks a table or column, or has two profiles of one name."""
+    names = [p.name for p in profiles]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"profiles of one name cannot run together: {', '.join(twice)}")
+    carried = {"STATUS", "CLASSTYPE", "COMMON_TEST_RANK", "COMMON_SI_TEST_RANK", "COMMON_ORDER_RANK"}
+    needed = [c for c in TERM_SCHEMA.names if c not in carried]
+    require_columns(terms, "terms", [c for c in needed if c != "CLASS" or CLASS_KEY not in terms.columns])
+    weighed = any(p.weights for p in profiles)
+    std = any(r.gate and r.gate.lstrip("!") == "std" for p in profiles for r in p.rule_list())
+    for wanted, name, columns in (
+        (std, "detail", ["LOINC_NUM", "COMPONENTCORE"]), (weighed, "part", ["PART", "PART_NUM", "TYPE"]),
+        (weighed, "weights", ["PartNum", "Molecular_weight_COMBINED"]),
+    ):
+        if wanted:
+            given = getattr(lookups, name)
+            if given is None:
+                raise ValueError(f"the table {name} is missing; these classes need it")
+            require_columns(given, name, columns)
+
+
 GATES: dict[str, Callable[[], Column]] = {
     "oxygen": lambda: one_of("COMPONENT_HATLESS", V.OXYGEN_COMPONENTS),
     "rast": lambda: like_any("COMPONENT", V.RAST_PATTERNS),
@@ -142,13 +165,18 @@ def families(terms: DataFrame, profiles: list[Profile]) -> list[list[Profile]]:
     partitions; other terms would be read once per family, so there is one pass.
     """
     if CLASS_KEY not in terms.columns:
-        return [profiles]
+        return _batches(profiles)
     alike: dict[frozenset, list[Profile]] = {}
     for p in profiles:
         rules = p.rule_list()
         traits = {r.kind for r in rules if r.kind != EQ} | {r.gate.lstrip("!") for r in rules if r.gate}
         alike.setdefault(frozenset(traits if len(traits) > 1 else ()), []).append(p)
-    return list(alike.values())
+    return [batch for family in alike.values() for batch in _batches(family)]
+
+
+def _batches(profiles: list[Profile]) -> list[list[Profile]]:
+    """As many profiles at a time as can share a pass."""
+    return [profiles[i : i + TOGETHER] for i in range(0, len(profiles), TOGETHER)]
 
 
 def together(frames: list[DataFrame]) -> DataFrame:
@@ -164,6 +192,7 @@ def run(
     terms once more with everything it shows. Of several profiles, each shows an
     attribute only where it revises it.
     """
+    check_run(terms, profiles, lookups)
     keyed = [(key_terms(terms, family, lookups), family) for family in families(terms, profiles)]
     sizes = staged(class_sizes(together([k.select(PROFILE, KEY) for k, _ in keyed]), [PROFILE]))
     df = together([enrich(k, family, lookups) for k, family in keyed])

@@ -14,7 +14,9 @@ from termfold.operators.rules import assign, groups, rules_of
 from termfold.plans import fixed_values as V
 from termfold.plans import legacy, pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES, all_rules
-from termfold.sources.rulebook import rule_hits
+from termfold.operators.staging import new_path
+from termfold.sources.results import write_reports
+from termfold.sources.rulebook import apply_rule_table, rule_hits
 from termfold.sources.sample import Sample
 from termfold.sources.terms import class_subset
 
@@ -181,6 +183,30 @@ def class_micro_legacy_q(s: Sample) -> DataFrame:
     return legacy.legacy_report(legacy.legacy_coarsen(s.terms, mappings(s)))
 
 
+def rule_table_apply_q(s: Sample) -> DataFrame:
+    """A rule table as long as the supplier table; some groups are values of later rules."""
+    rules = s.table("supplier").selectExpr(
+        "s_suppkey AS seq", "concat('ANALYTE ', s_suppkey, ' ') AS value",
+        "CASE WHEN s_suppkey % 3 = 0 THEN concat('Analyte ', s_suppkey + 1, '^next') ELSE concat('Nation ', s_nationkey) END AS grp")
+    return apply_rule_table(s.terms.select("LOINC_NUM", "COMPONENT"), "COMPONENT", rules)
+
+
+def report_output_q(s: Sample) -> DataFrame:
+    """Two classes written and read back."""
+    path = new_path(s.spark)
+    for name in ("FERT", "UA", "FERT"):
+        write_reports(s.terms, path, [BY_NAME[name]])
+    return s.spark.read.option("mergeSchema", True).parquet(path)
+
+
+def long_keys_q(s: Sample) -> DataFrame:
+    """Keys longer than the 255 characters that a key column used to hold, by class; none is cut."""
+    keyed = [pipeline.key_terms(s.terms, family, lookups(s)).select("profile", C.KEY) for family in pipeline.families(s.terms, PROFILES)]
+    length = F.length(C.KEY)
+    return pipeline.together(keyed).groupBy("profile").agg(
+        F.count(F.when(length > 255, 1)).alias("long_keys"), F.max(length).cast("long").alias("longest"))
+
+
 def all_classes_q(s: Sample) -> DataFrame:
     return pipeline.run(s.terms, PROFILES, lookups(s))
 

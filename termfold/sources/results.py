@@ -2,28 +2,69 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termfold.functions.text import norm, working_name
 from termfold.operators.classes import BLANK
 from termfold.operators.coarsen import PROFILE
+from termfold.operators.staging import file_system
 from termfold.plans import fixed_values as V
+from termfold.plans import pipeline
+from termfold.plans.profiles import PROFILES, Profile
+
+SECTIONS = (V.SECTION_MULTI, V.SECTION_ALL)
+
 
+def write_report(report: DataFrame, path: str, fmt: str = "parquet", classes: list[str] | None = None) -> None:
+    """Write a report below ``path``; the files of a class and section are in report order.
 
-def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the output at ``path``; the files of a class and section are in report order.
+    Only the output of this report's classes is replaced, with all of its sections; that of others stays.
+    ``classes``: names of the classes that were run, so that one without any row is emptied too. A section
+    without rows gets a file with the columns alone. The new output is written beside the old and takes its
+    place when it is complete.
 
-    The report is range partitioned in that order already: what is left is to put the
-    sections of each partition one after the other.
+    The report is range partitioned in report order already: what is left is to put the sections of each
+    partition one after the other.
     """
+    spark, new = report.sparkSession, f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
     rows = report.sortWithinPartitions(PROFILE, "section", sort_class("SORT_ORDER"), "row_kind", "LOINC_NUM")
-    writer = rows.write.mode("overwrite").partitionBy(PROFILE, "section")
-    if fmt == "csv":
-        writer = writer.options(
-            header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        )
-    writer.format(fmt).save(path)
+    _writer(rows, fmt).partitionBy(PROFILE, "section").format(fmt).save(new)
+    fs, at = file_system(spark, new)
+    found = [s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+    for name in dict.fromkeys([*found, *(classes or [])]):
+        for section in SECTIONS:
+            place = f"{new}/{PROFILE}={name}/section={section}"
+            if not fs.exists(file_system(spark, place)[1]):
+                empty = spark.createDataFrame([], report.drop(PROFILE, "section").schema)
+                _writer(empty.coalesce(1), fmt).format(fmt).save(place)
+        old = file_system(spark, f"{path.rstrip('/')}/{PROFILE}={name}")[1]
+        fs.delete(old, True)
+        if not fs.rename(file_system(spark, f"{new}/{PROFILE}={name}")[1], old):
+            raise OSError(f"the new output of {name} could not take its place; it is in {new}")
+    fs.delete(at, True)
+
+
+def _writer(rows: DataFrame, fmt: str):
+    if fmt != "csv":
+        return rows.write
+    return rows.write.options(header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_reports(
+    terms: DataFrame, path: str, profiles: list[Profile] = PROFILES,
+    lookups: pipeline.Lookups = pipeline.Lookups(), fmt: str = "parquet",
+) -> None:
+    """Run and write each class by itself, so that its output has its own columns and no others.
+
+    With terms stored by class each run reads its own partitions: together they read the terms as often as
+    one run of all classes does.
+    """
+    pipeline.check_run(terms, profiles, lookups)
+    for p in profiles:
+        write_report(pipeline.run(terms, [p], lookups), path, fmt, [p.name])
 
 
 def sort_class(order: str) -> Column:

@@ -8,11 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfold.functions.text import head, norm
+from termfold.functions.text import HAT, head, norm, regroup
 from termfold.operators import rules as R
+from termfold.operators.joins import lookup_join
+from termfold.operators.staging import staged
 
-# A rule set is written by hand; more rows than this is the wrong table.
-MAX_RULE_ROWS = 100_000
+# Rules that the driver folds are written by hand; a larger table of listed values stays in Spark.
+DRIVER_RULE_ROWS = 100_000
 
 
 def rule_table(spark: SparkSession, rules: list[R.Rule]) -> DataFrame:
@@ -25,14 +27,54 @@ def rule_table(spark: SparkSession, rules: list[R.Rule]) -> DataFrame:
 
 
 def read_rules(table: DataFrame) -> list[R.Rule]:
-    """Rules from their long form."""
+    """Rules of all kinds from their long form, for the driver.
+
+    Listed values in any number are applied without the driver: see ``apply_rule_table``.
+    """
     names = [c.split()[0] for c in R.LONG_SCHEMA.split(",")]
-    rows = table.select(*names).limit(MAX_RULE_ROWS + 1).collect()
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"more than {MAX_RULE_ROWS} rule rows")
+    rows = table.select(*names).limit(DRIVER_RULE_ROWS + 1).collect()
+    if len(rows) > DRIVER_RULE_ROWS:
+        raise ValueError(f"more than {DRIVER_RULE_ROWS} rule rows; use apply_rule_table for listed values")
     return R.from_rows([tuple(r) for r in rows])
 
 
+def fold_table(table: DataFrame) -> DataFrame:
+    """Listed values of a rule table (seq, value, grp) as a lookup: _head and the _text it ends as.
+
+    Rules apply by seq, each seeing what the earlier ones left. Every value follows its chain: of the rules that
+    list it, the first with a greater seq than the last one applied, until none does.
+    """
+    listed = staged(
+        table.where(F.col("value").isNotNull() & ~F.col("value").contains(HAT))
+        .select(norm("value").alias("_value"), "seq", "grp").groupBy("_value", "seq").agg(F.max("grp").alias("grp"))
+    )
+    firsts = listed.groupBy("_value").agg(F.min(F.struct("seq", "grp")).alias("r"))
+    done, open_ = None, staged(firsts.select(F.col("_value").alias("_head"), F.col("r.seq").alias("_seq"), F.col("r.grp").alias("_text")))
+    while True:
+        now = norm(head("_text"))
+        later = (
+            open_.withColumn("_now", now).join(listed, (F.col("_now") == F.col("_value")) & (F.col("seq") > F.col("_seq")))
+            .groupBy("_head").agg(F.min(F.struct("seq", "grp")).alias("r"))
+        )
+        step = staged(open_.join(later, "_head", "left"))
+        settled = step.where(F.col("r").isNull()).select("_head", "_text")
+        done = settled if done is None else done.union(settled)
+        moved = step.where(F.col("r").isNotNull())
+        if moved.isEmpty():
+            return done
+        rest = F.expr("substring(_text, length(_h) + 1, length(_text))")
+        open_ = staged(
+            moved.withColumn("_h", head("_text")).select("_head", F.col("r.seq").alias("_seq"), F.concat("r.grp", rest).alias("_text"))
+        )
+
+
+def apply_rule_table(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Replace values of a column by the groups of a rule table of any size."""
+    keyed = df.withColumn("_head", norm(head(column)))
+    found = lookup_join(keyed, fold_table(table), ["_head"])
+    return found.withColumn(column, F.when(F.col("_text").isNotNull(), regroup(F.col("_text"), column)).otherwise(F.col(column))).drop("_head", "_text")
+
+
 def read_spec(path: str) -> dict:
     """``{column: {group: [values]}}`` from a JSON file, order kept."""
     with open(path, encoding="utf-8") as f:

@@ -90,7 +90,7 @@ def terms_sql(dialect: str, orders: str = "orders") -> str:
            CAST({_turn(4, 30)} AS INT) AS COMMON_ORDER_RANK,
            {_spread(43, dialect, ["mg/dL", "%", "mmol/L", None])} AS EXAMPLE_UCUM_UNITS,
            concat('Term ', CAST(o_orderkey AS VARCHAR(20))) AS LONG_COMMON_NAME,
-           CAST(o_orderkey AS INT) AS ID
+           CAST(o_orderkey AS BIGINT) AS ID
     FROM {orders}"""
 
 

@@ -48,7 +48,14 @@ def write_terms(terms: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
-    """Term or lookup table from files or, with ``fmt='jdbc'``, from a database."""
+    """Term or lookup table from files or, with ``fmt='jdbc'``, from a database.
+
+    A database is read over several connections: the options must say how the table is cut.
+    """
+    if fmt == "jdbc":
+        lacking = [o for o in ("partitionColumn", "lowerBound", "upperBound", "numPartitions") if o not in options]
+        if lacking:
+            raise ValueError(f"reading from a database needs the options {', '.join(lacking)}")
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

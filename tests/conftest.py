@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -15,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="termfold-test-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

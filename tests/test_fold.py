@@ -1,5 +1,7 @@
 """The folded lookup against rules applied one after the other."""
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -40,6 +42,13 @@ def test_fold_equals_sequence(specs, value, digit):
     assert folded(rules, value, {"g": digit}) == one_by_one(rules, value, {"g": digit})
 
 
+def test_many_rules_fold_quickly():
+    rules = [R.Rule("p", "t", i, R.EQ, f"g{i}", tuple(f"v{i}.{k}" for k in range(4))) for i in range(5000)]
+    start = time.perf_counter()
+    assert len(R.fold(R.check(rules))) == 20_000
+    assert time.perf_counter() - start < 5
+
+
 def test_profile_rules_fold():
     rules = [r for r in all_rules() if r.kind == R.EQ]
     for place in {(r.profile, r.target) for r in rules}:

@@ -9,14 +9,12 @@ from termfold.operators import columns as K
 from termfold.operators import joins as J
 from termfold.operators import rules as R
 from termfold.plans import pipeline
-from termfold.plans.profiles import BY_NAME, PROFILES, all_rules, allergy
+from termfold.operators import staging
+from termfold.plans.profiles import BY_NAME, PROFILES, Profile, all_rules, allergy
 from termfold.sources import rulebook
-from termfold.sources.terms import TERM_SCHEMA, require_columns, require_table
+from termfold.sources.terms import TERM_SCHEMA, read_table, require_columns, require_table
 
-ROWS = [
-    ("Oxygen saturation", "BldV"), ("Oxygen saturation^during apnea", "BldA"),
-    ("Cardiac heart disease risk", "Ser/Plas"), ("C peptide", "Urine"),
-]
+ROWS = [("Red paint", "North"), ("Red paint^matt", "South "), ("Blue ink", "south"), ("Chalk", "West")]
 
 
 def table(spark, rows=ROWS):
@@ -28,14 +26,13 @@ def column(df, name):
 
 
 def test_apply_group_with_condition(spark):
-    out = K.apply_group(table(spark), "SYSTEM_REV", ["BldA", "BldV", "Ser/Plas"], "Changed",
-                        F.col("COMPONENT").ilike("Oxygen%"))
-    assert list(column(out, "SYSTEM_REV").values()) == ["Changed", "Changed", "Ser/Plas", "Urine"]
+    out = K.apply_group(table(spark), "SYSTEM_REV", ["north", "South"], "Pole", F.col("COMPONENT").ilike("red%"))
+    assert list(column(out, "SYSTEM_REV").values()) == ["Pole", "Pole", "south", "West"]
 
 
 def test_apply_group_without_values_changes_nothing(spark):
     df = table(spark)
-    assert K.apply_group(df, "SYSTEM_REV", [], "Changed") is df
+    assert K.apply_group(df, "SYSTEM_REV", [], "Pole") is df
 
 
 def test_dup_column(spark):
@@ -44,12 +41,11 @@ def test_dup_column(spark):
 
 
 def test_apply_groups_with_default(spark):
-    rows = ROWS + [("Immune complex", "Body fld"), ("Rheumatoid factor", "Body fld")]
-    spec = {"Other": {"default": True, "skipPatterns": ["Cardiac%"]},
-            "G1": ["Oxygen saturation", "C peptide"], "G2": ["Rheumatoid factor"]}
+    rows = ROWS + [("Glue", "East"), ("Tape", "East")]
+    spec = {"Rest": {"default": True, "skipPatterns": ["BLUE%"]}, "Wet": ["red paint", "Chalk "], "Dry": ["Tape"]}
     df = K.dup_column(table(spark, rows), "COMPONENT", "COMPONENT_REV")
     out = column(K.apply_groups(df, "COMPONENT_REV", spec), "COMPONENT_REV")
-    assert list(out.values()) == ["G1", "G1^during apnea", "Cardiac heart disease risk", "G1", "Other", "G2"]
+    assert list(out.values()) == ["Wet", "Wet^matt", "Blue ink", "Wet", "Rest", "Dry"]
 
 
 def test_hatless_and_suffix(spark):
@@ -92,11 +88,76 @@ def test_rules_survive_their_long_form(spark):
     assert rulebook.read_rules(rulebook.rule_table(spark, rules)) == sorted(rules, key=lambda r: (r.profile, r.seq))
 
 
-def test_rules_can_be_read_from_json_and_borrowed(tmp_path):
+def test_rules_can_be_read_from_json(tmp_path):
     path = tmp_path / "rules.json"
     path.write_text('{"SYSTEM": {"G": ["a", "b"]}}')
     step = R.groups("SYSTEM", rulebook.read_spec(str(path))["SYSTEM"])
-    assert R.borrow(R.rules_of("X", [step]), "Y") == [R.Rule("Y", "SYSTEM_REV", 0, "eq", "G", ("a", "b"))]
+    assert R.rules_of("Y", [step]) == [R.Rule("Y", "SYSTEM_REV", 0, "eq", "G", ("a", "b"))]
+
+
+def test_profiles_hold_so_many_rules():
+    """Facts of the profiles that do not come from the value lists."""
+    equal = [r for r in all_rules() if r.kind == R.EQ]
+    count = lambda p, t: sum((r.profile, r.target) == (p, t) for r in equal)
+    assert (count("MICRO", "METHOD_REV"), len({r.profile for r in all_rules()})) == (34, 13)
+
+
+def test_long_rule_table_equals_rules_one_by_one(spark):
+    """150,000 rows, some of them chained; the driver sees none of them."""
+    n = 150_000
+    rules = spark.range(n).selectExpr("id AS seq", "concat('V', id % 140000) AS value",
+                                      "CASE WHEN id % 7 = 0 THEN concat('v', (id + 1) % 140000, '^z') ELSE concat('G', id % 11) END AS grp")
+    names = [f"v{i}^p" if i % 2 else f" V{i}"[1:] + " " for i in range(0, n, 1501)] + ["x", "", None]
+    df = spark.createDataFrame([(x,) for x in names], "a string").withColumn("b", F.col("a"))
+    got = {r.a: r.b for r in rulebook.apply_rule_table(df, "b", rules).collect()}
+    listed = {}
+    for i in range(n):
+        listed.setdefault(f"v{i % 140000}", []).append((i, f"v{(i + 1) % 140000}^z" if i % 7 == 0 else f"G{i % 11}"))
+    for name in names:
+        text, last = name, -1
+        while text is not None:
+            head, hat, parts = text.partition("^")
+            step = next(((s, g) for s, g in listed.get(head.rstrip(" ").lower(), []) if s > last), None)
+            if step is None:
+                break
+            last, text = step[0], step[1] + hat + parts
+        assert got[name] == text
+
+
+def test_a_run_without_its_tables_says_so(spark):
+    terms = spark.createDataFrame([term("CHEM")], TERM_SCHEMA)
+    with pytest.raises(ValueError, match="part is missing"):
+        pipeline.run(terms, [BY_NAME["CHEM"]])
+    with pytest.raises(ValueError, match="detail is missing"):
+        pipeline.run(terms, [BY_NAME["MICRO"]])
+    with pytest.raises(ValueError, match="terms lacks SYSTEM"):
+        pipeline.run(terms.drop("SYSTEM"), [BY_NAME["UA"]])
+    with pytest.raises(ValueError, match="ALLERGY"):
+        pipeline.run(terms, [allergy(), allergy(strict=False)])
+    with pytest.raises(ValueError, match="numPartitions"):
+        read_table(spark, "", "jdbc", url="jdbc:none")
+
+
+def test_more_profiles_than_share_a_pass(spark):
+    many = [Profile(f"C{i}", ("COMPONENT", "SYSTEM_REV"), (R.groups("SYSTEM", {f"G{i}": ["a"]}),)) for i in range(70)]
+    rows = [term(f"c{i}", f"n{i}", COMPONENT="x", SYSTEM="A") for i in range(70)]
+    out = pipeline.run(spark.createDataFrame(rows, TERM_SCHEMA), many)
+    got = {r.profile: r.EQUIV_CLS for r in out.where("LOINC_NUM IS NOT NULL").collect()}
+    assert got == {f"C{i}": f"x|G{i}" for i in range(70)}
+
+
+def test_few_listed_numbers_are_broadcast(spark, monkeypatch):
+    terms = spark.createDataFrame([("1", "a"), (None, "b"), ("2", "c")], "LOINC_NUM string, COMPONENT string")
+    detail = spark.createDataFrame([("1", "ax"), (None, "ax"), ("2", "y")], "LOINC_NUM string, COMPONENTCORE string")
+    for size, join in ((64 << 20, "BroadcastHashJoin"), (-1, "SortMergeJoin")):
+        monkeypatch.setattr(staging, "BROADCAST_BYTES", size)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            out = J.components_like(terms, detail, ["a%"])
+            text = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+            assert join in text and [r.COMPONENT for r in out.collect()] == ["a"]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_lint_lists_dead_values():

@@ -1,8 +1,9 @@
-"""Every registered query against its SQL."""
+"""Every registered query of the reference operators against its SQL."""
 
 import pytest
 
-import __spark_entry__ as E
+from oracle.sql import oracle_sql
+from termfold.plans.queries import queries
 from tests.compare import connect, differences
 
 
@@ -11,7 +12,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-QUERIES, ORACLE = E.queries(), E.oracle_sql()
+QUERIES, ORACLE = queries(), oracle_sql()
 
 
 def test_every_query_has_its_sql():

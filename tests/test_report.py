@@ -2,16 +2,20 @@
 
 import os
 import re
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from termfold.operators import classes as C
+from termfold.operators import coarsen
 from termfold.operators import joins as J
 from termfold.operators import staging
 from termfold.plans import pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES
-from termfold.sources.results import results_path, write_report
+from termfold.sources.results import results_path, write_report, write_reports
 from termfold.sources.sample import Sample
 from termfold.sources.terms import class_subset, write_terms
 
@@ -94,6 +98,48 @@ def test_report_is_written_per_class_and_section(spark, sample, full, tmp_path,
     assert stored == want.SORT_ORDER.tolist()
 
 
+def test_writing_a_class_leaves_the_others(spark, sample, full, tmp_path):
+    path = str(tmp_path / "out")
+    write_reports(sample.terms, path, [BY_NAME["UA"], BY_NAME["FERT"]])
+    write_reports(sample.terms, path, [BY_NAME["UA"]])
+    assert sorted(os.listdir(path)) == ["profile=FERT", "profile=UA"]
+    for name in ("UA", "FERT"):
+        got = spark.read.parquet(f"{path}/profile={name}")
+        assert got.count() == len(full[full.profile == name])
+        assert ("TIME_REV" in got.columns, "WARNING" in got.columns) == (False, False)
+
+
+def test_a_class_that_shrinks_leaves_nothing_stale(spark, sample, tmp_path):
+    path = str(tmp_path / "out")
+    write_reports(sample.terms, path, [BY_NAME["UA"]])
+    single = class_subset(sample.derived_terms(), ["UA"]).limit(1)
+    write_reports(single, path, [BY_NAME["UA"]])
+    sizes = [spark.read.parquet(results_path(path, "UA", s)).count() for s in ("group size > 1", "all groups")]
+    assert sizes == [0, 3]
+    write_reports(single.where("false"), path, [BY_NAME["UA"]])
+    sizes = [spark.read.parquet(results_path(path, "UA", s)).count() for s in ("group size > 1", "all groups")]
+    assert sizes == [0, 0]
+
+
+def test_staged_tables_go_with_the_session(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from termfold.operators.staging import staged
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}").getOrCreate()
+assert staged(s.range(5)).count() == 5
+"""
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=top, timeout=120, capture_output=True)
+    def left():
+        return [f for f in os.listdir(tmp_path) if f.startswith("termfold")]
+
+    for _ in range(100):
+        if not left():
+            break
+        time.sleep(0.2)
+    assert left() == []
+
+
 def test_stored_terms_are_pruned_by_class(spark, sample, tmp_path):
     path = str(tmp_path / "terms")
     write_terms(sample.derived_terms(), path)
@@ -131,6 +177,7 @@ def test_class_sizes_read_only_key_columns(sample):
 def test_large_tables_take_the_shuffled_way(spark, sample, lookups, full, monkeypatch):
     monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(J, "HOT_SHARE", 50)
+    monkeypatch.setattr(coarsen, "BROADCAST_RULES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = pipeline.run(sample.terms, PROFILES, lookups)
