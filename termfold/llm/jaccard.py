@@ -193,7 +193,7 @@ def _like(rows: list[np.ndarray], percent: int, first: int, end: int):
         yield _batch(POSTING, [pa.array(x[keep]) for x in rows])
 
 
-def _listed(batches):
+def _listed(batches, size: int):
     """Lists cut into blocks; rows come by token, size and class, with bucket counts."""
     token, rows = None, []
     block = 0
@@ -209,7 +209,7 @@ def _listed(batches):
                 if len(rows) > 1 or block:
                     pending.append(out(True))
                 token, rows, block = t, [], 0
-            if len(rows) >= BLOCK:
+            if len(rows) >= size:
                 pending.append(out(False))
                 rows, block = rows[-OVERLAP:], block + 1
             rows.append((c, n, p, k))
@@ -364,7 +364,7 @@ def _links(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame
     return staged(both.mapInArrow(partial(_verified, percent=percent), "u long, v long"))
 
 
-def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): doc_id, n_shingles and class of each document; node and root of the classes that are linked."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -384,7 +384,7 @@ def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> t
     blocks = staged(
         entries.join(buckets, "class").select("token", "class", "size", "pos", "buckets")
         .repartition("token").sortWithinPartitions("token", "size", "class")
-        .mapInArrow(_listed, LISTED)
+        .mapInArrow(partial(_listed, size=block), LISTED)
     )
     parts = ["classes", "sizes", "buckets"]
     first = _links(docs, blocks.select(*parts).mapInArrow(partial(_forests, percent=percent), "a long, b long"), n, percent)
@@ -414,9 +414,9 @@ def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> t
     return rows, staged(roots.join(last, "root", "left").select("node", F.coalesce("last", "root").alias("root")).union(merged))
 
 
-def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id of each document."""
-    rows, roots = linked_classes(docs, n, percent)
+    rows, roots = linked_classes(docs, n, percent, block)
     least = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     rooted = staged(rooted)
