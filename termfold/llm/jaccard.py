@@ -462,3 +462,19 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
 
 
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM w),
+sized AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM sets),
+each AS (SELECT doc_id, unnest(g) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sized UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT sized.doc_id, n AS n_shingles, min(reach.b) AS component_id FROM sized JOIN reach ON reach.a = sized.doc_id GROUP BY 1, 2
+"""

@@ -22,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard": jaccard.ORACLE,
     "op5_mixing": mixing.ORACLE,
 }

@@ -7,6 +7,7 @@ import pytest
 
 from termfold.llm import jaccard
 from termfold.llm.components import components
+from tests.compare import connect, differences
 from tests.llm.messy import check_shapes, documents, empty
 
 
@@ -52,6 +53,10 @@ def test_join_on_a_table(spark, sf_dir, n, percent):
     assert joined(docs, n, percent) == brute([(r.doc_id, r.text) for r in docs.collect()], n, percent)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert differences(jaccard.op2_jaccard(spark, sf_dir), connect(sf_dir), jaccard.ORACLE) == ""
+
+
 @pytest.mark.parametrize("block", [4, 1024])
 def test_many_near_copies(spark, block):
     """A cloud of near copies around the threshold, common passages, copies; lists longer than a block."""
