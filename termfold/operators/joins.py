@@ -51,12 +51,17 @@ def join_beside_hot(
     return joined.select(*columns, *found)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], only: Column | None = None) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: list[str], only: Column | None = None, local: bool = False
+) -> DataFrame:
     """Left join with a lookup table of unknown size, one row per key.
 
     The lookup is written once and measured: small, it is broadcast; otherwise the
-    hot keys of the left side are, and the rest is shuffled.
+    hot keys of the left side are, and the rest is shuffled. ``local``: it comes from
+    rows that the driver holds, which bounds it; it is broadcast as it is.
     """
+    if local:
+        return join_broadcast(left, right, on, only)
     right, size = staged_and_measured(right)
     if size.broadcastable:
         return join_broadcast(left, right, on, only)
@@ -145,7 +150,7 @@ def mapping_table_group(
     """Replace whole values of a column by a mapping table's group where it has one."""
     keyed = terms.withColumn("_name", norm(column))
     return (
-        lookup_join(keyed, mapping_groups(mapping, group_column, name), ["_name"])
+        lookup_join(keyed, mapping_groups(mapping, group_column, name), ["_name"], local=mapping.isLocal())
         .withColumn(column, F.coalesce(F.col("_group"), F.col(column)))
         .drop("_name", "_group")
     )
@@ -168,6 +173,7 @@ def override_by_core(
         .distinct()
     )
     keyed = terms.withColumns({"_num": norm("LOINC_NUM"), "_name": norm(source)})
-    found = lookup_join(lookup_join(keyed, mapping_groups(mapping, group_column), ["_name"]), numbers, ["_num"])
+    mapped = lookup_join(keyed, mapping_groups(mapping, group_column), ["_name"], local=mapping.isLocal())
+    found = lookup_join(mapped, numbers, ["_num"])
     text = F.when(F.col("_listed") & F.col("_group").isNotNull(), F.col("_group")).otherwise(F.col(column))
     return found.withColumn(column, text).drop("_num", "_listed", "_name", "_group")
