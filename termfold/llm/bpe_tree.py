@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from termfold.llm.shared import ship_package, table
 
 #: Words that a worker keeps encoded; beyond, it starts anew.
-KEPT = 300_000
+KEPT = 1_000_000
 #: Pieces with more symbols are merged one by one.
 TOGETHER = 128
 NONE = np.iinfo(np.int64).max
@@ -41,15 +41,9 @@ class Words:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.number))
-        if not new:
-            return
-        if self.number and len(self.number) + len(new) > self.kept:
-            self.clear()
-            new = list(words)
+        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+
+    def _learn(self, new: list[bytes]) -> None:
         ids = self.encode_words(new)
         n, total = len(self.number), sum(map(len, ids))
         while n + len(new) > len(self.start):
@@ -64,14 +58,21 @@ class Words:
         self.used += total
         self.number.update(zip(new, range(n, n + len(new))))
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ids of words that are all known."""
-        if not words:
-            return np.zeros(0, np.uint32)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, where each word's end); new words are learned on the way."""
+        at = list(map(self.number.get, words))
+        if None in at:
+            new = {w for w, k in zip(words, at) if k is None}
+            if self.number and len(self.number) + len(new) > self.kept:
+                self.clear()
+                new = set(words)
+            self._learn(list(new))
+            at = list(map(self.number.__getitem__, words))
+        at = np.array(at, np.int64)
         lengths = self.length[at]
         ends = np.cumsum(lengths)
-        return self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - (ends - lengths), lengths)]
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.start[at] - (ends - lengths), lengths)], ends
 
 
 def encode_texts(words: Words, texts: list[bytes], together: int = 2_000_000):
@@ -83,9 +84,12 @@ def encode_texts(words: Words, texts: list[bytes], together: int = 2_000_000):
             size += len(texts[j])
             j += 1
         split = [t.split() for t in texts[i:j]]
-        words.learn(set().union(*split))
+        ids, ends = words.ids([w for s in split for w in s])
+        ends, word, start = np.concatenate([[0], ends]), 0, 0
         for s in split:
-            yield words.ids(s)
+            word += len(s)
+            yield ids[start : ends[word]]
+            start = ends[word]
         i = j
 
 
