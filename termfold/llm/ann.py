@@ -39,6 +39,8 @@ QUERY_BLOCK = 64
 SPREAD = 8
 RECALL = 0.95
 CALIBRATION = 200
+#: Queries whose nearest a task holds at a time.
+HELD_QUERIES = 50_000
 #: Most leaves of a tree, whatever the input: the tree goes to every task.
 MOST_LEAVES = 20_000
 ITERATIONS = 8
@@ -210,9 +212,12 @@ def _visits(batches, tree, visits: int):
 
 
 def _search(batches, k: int):
-    """The k nearest in one block, of the queries that visit it."""
+    """The k nearest of each query among all the blocks of a partition.
+
+    Only a query's best so far are kept from block to block, and given out at the end, or when many queries are held.
+    """
+    held: dict[int, list] = {}
     for b in batches:
-        out: list[tuple] = []
         for ids, data, queries in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
             ids = np.frombuffer(ids, "<i8")
             data = np.frombuffer(data, "<f8").reshape(len(ids), -1)
@@ -220,11 +225,23 @@ def _search(batches, k: int):
                 d = np.sqrt(((data - np.frombuffer(x["q"], "<f8")) ** 2).sum(1))
                 other = np.flatnonzero(ids != x["query_id"])
                 near = other[np.lexsort((ids[other], d[other]))[:k]]
-                out += [(x["query_id"], i, s) for i, s in zip(ids[near].tolist(), d[near].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())],
-            names=["query_id", "vec_id", "score"],
-        )
+                best = held.setdefault(x["query_id"], [])
+                best += zip(d[near].tolist(), ids[near].tolist())
+                if len(best) > 8 * k:
+                    best.sort()
+                    del best[k:]
+        if len(held) > HELD_QUERIES:
+            yield _nearest(held, k)
+            held = {}
+    yield _nearest(held, k)
+
+
+def _nearest(held: dict[int, list], k: int) -> pa.RecordBatch:
+    out = [(q, i, s) for q, best in held.items() for s, i in sorted(best)[:k]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())],
+        names=["query_id", "vec_id", "score"],
+    )
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL) -> DataFrame:
