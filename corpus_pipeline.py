@@ -19,6 +19,10 @@ from termfold.llm.shared import table
 from termfold.operators.staging import staged
 
 
+#: Words that a worker keeps encoded; few, since workers hold memory of earlier stages.
+KEPT_WORDS = 150_000
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.accepted_documents(docs, table(spark, sf_dir, "labels"))
 
@@ -38,7 +42,8 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    ids = bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT_WORDS)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

@@ -19,7 +19,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm.shared import ship_package, table
+from termfold.llm.shared import ship_package, sliced, table
 
 LIMIT = 1024
 #: Characters that the tokenizer's pattern takes for white space.
@@ -102,7 +102,7 @@ def counter(path: str) -> Counter:
 
 def _count(batches, path: str, limit: int):
     c = counter(path)
-    for b in batches:
+    for b in sliced(batches):
         texts = [t or "" for t in b.column(1).to_pylist()]
         counts = [c.count(t) for t in texts]
         yield pa.RecordBatch.from_arrays(

@@ -15,36 +15,46 @@ import hashlib
 import json
 import re
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm.shared import ship_package, table
+from termfold.llm.shared import ship_package, sliced, table
 
-#: Words that a worker keeps encoded; beyond, it starts anew.
-KEPT = 1_000_000
+#: Words that a worker keeps encoded, twice: those in use, and those in use before.
+KEPT = 700_000
 #: Pieces with more symbols are merged one by one.
 TOGETHER = 128
 NONE = np.iinfo(np.int64).max
 
-_codecs: dict[str, "Codec"] = {}
+_codecs: dict[tuple[str, int], "Codec"] = {}
 
 
 class Words:
-    """Ids by word, as ranges of one flat array."""
+    """Ids by word, as ranges of one flat array.
+
+    When it is full, the words become the old ones and those before are forgotten; old words that come up again
+    are taken over with their ids, so that only words long unseen are encoded anew.
+    """
 
     def __init__(self, encode_words, kept: int = KEPT):
         self.encode_words, self.kept = encode_words, kept
+        self.number = {}
         self.clear()
 
     def clear(self) -> None:
+        self.old = (self.number, self.flat[: self.used].copy(), self.start, self.length) if self.number else ({}, None, None, None)
         self.number: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
     def _learn(self, new: list[bytes]) -> None:
-        ids = self.encode_words(new)
+        number, flat, start, length = self.old
+        found = [number.get(w) for w in new]
+        encoded = iter(self.encode_words([w for w, k in zip(new, found) if k is None]))
+        ids = [next(encoded) if k is None else flat[start[k] : start[k] + length[k]].tolist() for k in found]
         n, total = len(self.number), sum(map(len, ids))
         while n + len(new) > len(self.start):
             self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
@@ -54,7 +64,7 @@ class Words:
         self.length[n : n + len(new)] = lengths
         self.start[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
         if total:
-            self.flat[self.used : self.used + total] = np.concatenate([np.asarray(x, np.uint32) for x in ids])
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.used += total
         self.number.update(zip(new, range(n, n + len(new))))
 
@@ -94,7 +104,7 @@ def encode_texts(words: Words, texts: list[bytes], together: int = 2_000_000):
 
 
 class Codec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -118,7 +128,7 @@ class Codec:
         pairs = np.array(pairs, np.int64)
         self.by_pair = np.argsort(pairs, kind="stable")
         self.pairs = pairs[self.by_pair]
-        self.words = Words(self.encode_words)
+        self.words = Words(self.encode_words, kept)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair, NONE without one."""
@@ -260,19 +270,19 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-def codec(path: str) -> Codec:
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+def codec(path: str, kept: int = KEPT) -> Codec:
+    if (path, kept) not in _codecs:
+        _codecs[path, kept] = Codec(path, kept)
+    return _codecs[path, kept]
 
 
 def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def _encode(batches, path: str):
-    c = codec(path)
-    for b in batches:
+def _encode(batches, path: str, kept: int):
+    c = codec(path, kept)
+    for b in sliced(batches):
         ids = list(encode_texts(c.words, _texts(b.column(1))))
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
@@ -289,7 +299,7 @@ def _decode(batches, path: str):
 
 def _digest(batches, path: str):
     c = codec(path)
-    for b in batches:
+    for b in sliced(batches):
         counts, hashes, decoded = [], [], []
         for ids in encode_texts(c.words, _texts(b.column(1))):
             counts.append(len(ids))
@@ -301,10 +311,10 @@ def _digest(batches, path: str):
         )
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and ids of each document."""
+def encode(docs: DataFrame, path: str, kept: int = KEPT) -> DataFrame:
+    """doc_id and ids of each document; ``kept`` words stay encoded in a worker."""
     ship_package(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path), "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path, kept=kept), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termfold.llm.components import components
-from termfold.llm.shared import ship_package, table
+from termfold.llm.shared import ship_package, sliced, table
 from termfold.operators.staging import staged
 
 WORDS, PERCENT = 3, 90
@@ -90,7 +90,7 @@ def _scan(batches, n: int):
     """A row per document (kind 0); at the end the partition's sketch (kind 1), each different set counted once."""
     seen: set[int] = set()
     sketch = np.zeros(SKETCH, np.int64)
-    for b in batches:
+    for b in sliced(batches):
         ids, sizes, classes, buckets, held = b.column(0), [], [], [], []
         for t in b.column(1).cast(pa.binary()).to_pylist():
             s = shingles(t or b"", n)
@@ -138,7 +138,7 @@ def _summed(key, frames: pd.DataFrame) -> pd.DataFrame:
 def _postings(batches, n: int, percent: int, sketch):
     """The prefix of each different set: token, class, size and position."""
     counts, seen = sketch.value, set()
-    for b in batches:
+    for b in sliced(batches):
         tokens, classes, sizes, lengths = [np.zeros(0, np.int64)], [], [], []
         for t in b.column(0).cast(pa.binary()).to_pylist():
             s = shingles(t or b"", n)
@@ -320,7 +320,7 @@ def _wanted(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def _sets(batches, n: int, bits):
     """The sets of the classes that the filter names."""
     seen: set[int] = set()
-    for b in batches:
+    for b in sliced(batches):
         classes, sets = [], []
         for t in b.column(0).cast(pa.binary()).to_pylist():
             s = shingles(t or b"", n)
@@ -333,7 +333,7 @@ def _sets(batches, n: int, bits):
 
 
 def _verified(batches, percent: int):
-    for b in batches:
+    for b in sliced(batches):
         out = []
         for a, c, x, y in zip(*(b.column(i).to_pylist() for i in range(4))):
             x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)

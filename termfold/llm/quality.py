@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfold.llm.shared import ship_package, table
+from termfold.llm.shared import ship_package, sliced, table
 from termfold.operators.staging import staged
 
 FIT_ROWS = 40_000
@@ -73,7 +73,7 @@ def statistics(text: bytes) -> list[float]:
 
 
 def _statistics(batches):
-    for b in batches:
+    for b in sliced(batches):
         rows = np.array([statistics(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()], np.float32).reshape(b.num_rows, len(NAMES))
         values = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * len(NAMES), pa.int32()), pa.array(rows.ravel(), pa.float32()))
         yield pa.RecordBatch.from_arrays([b.column(0), values], names=["doc_id", "x"])
@@ -179,7 +179,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _kept(batches, model, column: int):
-    for b in batches:
+    for b in sliced(batches):
         texts = b.column(column).cast(pa.binary()).to_pylist()
         x = np.array([statistics(t or b"") for t in texts], np.float32).reshape(b.num_rows, len(NAMES))
         yield b.filter(pa.array(model.score(x) >= THRESHOLD))

@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def sliced(batches, rows: int = 512):
+    """The same rows in smaller batches, so that few of them are Python objects at a time."""
+    for b in batches:
+        for i in range(0, max(1, b.num_rows), rows):
+            yield b.slice(i, rows)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Lets Python workers import this package, wherever they run: Spark's file server hands it out."""
     sc = spark.sparkContext

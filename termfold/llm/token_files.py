@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termfold.llm.bpe_tree import Words, _texts, encode_texts
-from termfold.llm.shared import ship_package, table
+from termfold.llm.shared import ship_package, sliced, table
 from termfold.operators.staging import new_path
 
 END_ID = 2
@@ -142,7 +142,7 @@ def _encoder(path: str) -> Words:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
-        _words[path] = Words(lambda words: [e.ids for e in library.encode_batch([w.decode() for w in words], add_special_tokens=False)])
+        _words[path] = Words(lambda words: [e.ids for e in library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
     return _words[path]
 
 
@@ -162,7 +162,7 @@ def _shards(batches, path: str, end_id: int, shard_ids: int):
         keys, ids, held, seq = [], [], 0, seq + 1
         return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
-    for b in batches:
+    for b in sliced(batches):
         for key, x in zip(b.column(0).to_pylist(), encode_texts(words, _texts(b.column(1)))):
             if keys and held + len(x) + 1 > shard_ids:
                 yield flushed()
