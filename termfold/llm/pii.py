@@ -186,26 +186,32 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
         .groupBy("kind", "value", "seed", "pattern").agg(F.count(F.lit(1)).alias("n"))
     )
     edges = staged(candidates.unionByName(seeds))
-    supported = edges.groupBy("kind", "pattern").agg(F.sum("seed").alias("support")).where(F.col("support") >= SUPPORT)
-    supported = staged(supported.select("kind", "pattern"))
-    if supported.isEmpty():
-        return None
-    totals = staged(_occurrences(docs, supported.select("pattern").distinct()))
-    # patterns that only candidates support later are counted too
-    good = edges.where("seed = 1").select("kind", "value").distinct()
-    found = None
+    first = edges.where("seed = 1").select("kind", "value").distinct()
+    good, found, totals, n_found = first, None, None, 0
     for _ in range(ROUNDS):
-        confidence = (
+        beside = staged(
             edges.join(good, ["kind", "value"], "left_semi").groupBy("kind", "pattern")
-            .agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("support")).where(F.col("support") >= SUPPORT)
-            .join(totals, "pattern").select("kind", "pattern", F.least(F.lit(0.99), F.col("_n") / F.col("total")).alias("confidence"))
+            .agg(F.sum("n").alias("_n"), F.count_distinct("value").alias("support")).where(F.col("support") >= SUPPORT)
         )
+        # accepted candidates bring in patterns of their own: those not counted yet
+        new = beside.select("pattern").distinct()
+        new = staged(new if totals is None else new.join(totals, "pattern", "left_anti"))
+        if not new.isEmpty():
+            counted = staged(_occurrences(docs, new))
+            totals = counted if totals is None else totals.unionByName(counted)
+        if totals is None:
+            return None
+        confidence = beside.join(totals, "pattern").select("kind", "pattern", F.least(F.lit(0.99), F.col("_n") / F.col("total")).alias("confidence"))
         scores = (
             edges.where("seed = 0").join(confidence, ["kind", "pattern"]).groupBy("kind", "value")
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"))
         )
         found = staged(scores.where(F.col("score") >= ACCEPT).select("kind", "value"))
-        good = edges.where("seed = 1").select("kind", "value").union(found).distinct()
+        # more support only raises confidences: none is lost again, and the same number is the same set
+        n, n_found = n_found, found.count()
+        if n_found == n:
+            break
+        good = first.union(found).distinct()
     return found
 
 

@@ -74,6 +74,15 @@ def test_contexts_discover_what_patterns_miss(spark):
     assert (text[3], text[50], text[52], text[53]) == ("Call tel: [PHONE] now", "tel: [PHONE] ok", None, "see 555-123-9999")
 
 
+def test_accepted_candidates_bring_in_their_own_patterns(spark):
+    """Seeds stand beside one context, the first candidates beside two, the last beside the second only."""
+    docs = [(i, f"Call tel: +1 (988) 555-24{i:02d} now") for i in range(20)]
+    docs += [(100 + i, f"tel: (555) 123-45{i:02d} or mobile (555) 123-45{i:02d} today") for i in range(4)]
+    docs += [(200, "my mobile (555) 987-6543 is new"), (201, "my shop (555) 987-0000 is new")]
+    got = {r.doc_id: r for r in pii.extract(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got[100].n_added == 2 and got[200].spans == "phone:10:24" and got[201].spans == ""
+
+
 def test_overlapping_spans_are_masked_once(spark):
     df = spark.createDataFrame([(1, "a +4111111111111111 b x@y.zz"), (2, "é🙂 1.2.3.4, 1.2.3.4")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in pii.masked(df).collect()}
