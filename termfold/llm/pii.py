@@ -1,11 +1,12 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Seeds are the matches of four strict patterns (email, ip, card, phone). The words around a seed are its lexical
-patterns: the word before, the two words before, the word after. Further strings of looser forms (addresses with
+Seeds are the matches of four strict patterns (email, ip, card, phone). Tokens are runs of letters and digits, and
+single other characters. The tokens around a seed are its lexical patterns: the one, two and three tokens before, the
+token after. A token that the match cuts is none. Further strings of looser forms (addresses with
 "(at)", numbers without a plus, six-part addresses, dotted card numbers) are candidates, with the same kinds of
 lexical patterns around them. In the graph of lexical patterns and instances scores are computed in turn:
 
-    confidence of a pattern  = occurrences beside accepted instances / its occurrences in all texts
+    confidence of a pattern  = occurrences beside accepted instances / its occurrences in all texts, as the same tokens
     score of an instance     = 1 - product over its patterns of (1 - confidence)
 
 Patterns count from SUPPORT different accepted instances on. Candidates that score ACCEPT or more are accepted and
@@ -27,8 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfold.llm.shared import GAP, table
-from termfold.operators.staging import staged
+from termfold.llm.shared import table
+from termfold.operators.staging import Size, staged, staged_and_measured
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -54,6 +55,9 @@ GATES = {
     ("email", False): r"[\[(](?:at|AT)[\])]", ("ip", False): r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:",
     ("card", False): r"[0-9]{4}[./][0-9]{4}", ("phone", False): r"[0-9]{3}[.-][0-9]{4}",
 }
+#: Characters of words, and tokens: words and single other characters.
+_WORD = r"[\p{L}\p{M}\p{N}]"
+TOKEN = rf"{_WORD}++|[^\s\p{{L}}\p{{M}}\p{{N}}]"
 #: Characters of context that are kept on either side of a match.
 CONTEXT = 48
 SUPPORT, ACCEPT, ROUNDS = 3, 0.8, 3
@@ -108,12 +112,17 @@ def _found(text: Column, kind: str, pattern: str, check: bool) -> Column:
     """Matches of one kind with their places and the text around them."""
     number = KINDS.index(kind)
 
+    def edge(m: Column, i: Column, end: Callable) -> Column:
+        # the nearest character of the match beside a piece shows whether a word goes on there
+        return F.coalesce(end(F.get(m, i), F.lit(1)), F.lit(" "))
+
     def placed(m: Column, p: Column) -> Column:
         # a piece and the match after it
         steps = F.zip_with(F.slice(p, F.lit(1), F.size(m)), m, lambda a, b: F.length(a) + F.length(b))
         return let(steps, lambda lengths: let(_running(lengths), lambda ends: F.transform(m, lambda v, i: F.struct(
             (F.get(ends, i) - F.length(v)).cast("int").alias("start"), F.lit(number).alias("kind"), F.get(ends, i).cast("int").alias("end"),
-            v.alias("value"), F.right(F.get(p, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(p, i + 1), F.lit(CONTEXT)).alias("after")))))
+            v.alias("value"), F.right(F.concat(edge(m, i - 1, F.right), F.get(p, i)), F.lit(CONTEXT)).alias("before"),
+            F.left(F.concat(F.get(p, i + 1), edge(m, i + 1, F.left)), F.lit(CONTEXT)).alias("after")))))
 
     every = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(
         F.size(m) > 0, let(F.split(text, pattern, -1), lambda p: placed(m, p)).cast(_SPAN)).otherwise(F.array().cast(_SPAN)))
@@ -152,24 +161,36 @@ def scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def _lexical(spans: str, seed: int) -> list[Column]:
     """Kind, instance and lexical patterns of each span of an array column."""
-    before = F.filter(F.split(F.lower("s.before"), GAP), lambda w: w != "")
-    after = F.filter(F.split(F.lower("s.after"), GAP), lambda w: w != "")
-    n = F.size(before)
-    patterns = F.array(
-        F.concat(F.lit("L1 "), F.get(before, n - 1)),
-        F.concat(F.lit("L2 "), F.get(before, n - 2), F.lit(" "), F.get(before, n - 1)),
-        F.concat(F.lit("R1 "), F.get(after, F.lit(0))),
+    def tokens(side: str, cut: str) -> Column:
+        # what stands at the end of the kept characters may be part of a word only
+        return F.transform(F.regexp_extract_all(F.regexp_replace(side, cut, ""), F.lit(TOKEN), F.lit(0)), F.lower)
+
+    def whole(left: str, right: str) -> Column:
+        return ~(F.col(left).rlike(rf"{_WORD}$") & F.col(right).rlike(rf"^{_WORD}"))
+
+    before, after = tokens("s.before", rf"^{_WORD}++"), tokens("s.after", rf"{_WORD}++$")
+    last = [F.reverse(F.slice(F.reverse(before), 1, k)) for k in (1, 2, 3)]
+    lefts = [F.when(F.size(w) == k, F.concat(F.lit(f"L{k} "), F.concat_ws(" ", w))) for k, w in enumerate(last, 1)]
+    patterns = F.concat(
+        F.when(whole("s.before", "s.value"), F.array(*lefts)).otherwise(F.array().cast("array<string>")),
+        F.array(F.when(whole("s.value", "s.after"), F.concat(F.lit("R1 "), F.get(after, F.lit(0))))),
     )
     return [F.col("s.kind").alias("kind"), F.col("s.value").alias("value"), F.lit(seed).alias("seed"), F.explode(F.array_compact(patterns)).alias("pattern")]
 
 
-def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, patterns: DataFrame, size: Size) -> DataFrame:
     """How often each lexical pattern occurs in all texts, whatever it stands beside."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), GAP), lambda w: w != "")
-    pairs = docs.select(words.alias("w")).select(F.explode(F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("x"))
-    texts = pairs.select(F.explode(F.array_compact(F.array(
-        F.concat(F.lit("L1 "), F.col("x.a")), F.concat(F.lit("L2 "), F.col("x.a"), F.lit(" "), F.col("x.b")), F.concat(F.lit("R1 "), F.col("x.a"))))).alias("pattern"))
-    return texts.join(patterns, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    asked = patterns.select("pattern", F.substring("pattern", 4, 1 << 20).alias("run"))
+    tokens = docs.select(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0)).alias("w"))
+    each = tokens.select(F.explode(F.arrays_zip(F.col("w").alias("a"), _from(2).alias("b"), _from(3).alias("c"))).alias("x"))
+    two = F.concat("x.a", F.lit(" "), F.col("x.b"))
+    runs = each.select(F.explode(F.array_compact(F.array(F.col("x.a"), two, F.concat(two, F.lit(" "), F.col("x.c"))))).alias("run")).select(F.lower("run").alias("run"))
+    runs = runs.join(F.broadcast(asked.select("run").distinct()) if size.broadcastable else asked.select("run").distinct(), "run", "left_semi")
+    return asked.join(runs.groupBy("run").agg(F.count(F.lit(1)).alias("total")), "run").select("pattern", "total")
+
+
+def _from(k: int) -> Column:
+    return F.slice(F.col("w"), F.lit(k), F.greatest(F.size("w"), F.lit(1)))
 
 
 def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
@@ -195,9 +216,9 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
         )
         # accepted candidates bring in patterns of their own: those not counted yet
         new = beside.select("pattern").distinct()
-        new = staged(new if totals is None else new.join(totals, "pattern", "left_anti"))
-        if not new.isEmpty():
-            counted = staged(_occurrences(docs, new))
+        new, size = staged_and_measured(new if totals is None else new.join(totals, "pattern", "left_anti"))
+        if size.rows:
+            counted = staged(_occurrences(docs, new, size))
             totals = counted if totals is None else totals.unionByName(counted)
         if totals is None:
             return None

@@ -83,6 +83,28 @@ def test_accepted_candidates_bring_in_their_own_patterns(spark):
     assert got[100].n_added == 2 and got[200].spans == "phone:10:24" and got[201].spans == ""
 
 
+def test_glued_labels_and_trailing_punctuation(spark):
+    """Contexts are counted as they are taken: glued labels are found, a comma behind a number tells nothing."""
+    docs = [(i, f"Call tel:+1 (988) 555-24{i:02d}, then wait, or go, or stay") for i in range(20)]
+    docs += [(50, "tel:(555) 123-4567 ok"), (51, "see 555-123-9999, or not"), (52, "mix1(555) 123-4567 , 1")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.extract(df).collect()}
+    assert (got[50].spans, got[51].spans) == ("phone:4:18", "")
+    found = pii.accepted(df, pii.scanned(df, ["doc_id"]))
+    assert [(r.kind, r.value) for r in found.collect()] == [(3, "(555) 123-4567")]
+
+
+def test_pattern_occurrences_are_never_fewer_than_those_beside_spans(spark):
+    r = random.Random(9)
+    texts = ["".join(r.choice([*PARTS, "tel:", ", ", "ip=", "É", "_"]) for _ in range(r.randint(0, 25))) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    beside = pii.scanned(docs, []).select(F.explode("_base").alias("s")).select(*pii._lexical("s", 1)).groupBy("kind", "pattern").count()
+    beside, size = pii.staged_and_measured(beside)
+    totals = pii._occurrences(docs, beside.select("pattern").distinct(), size)
+    rows = beside.join(totals, "pattern", "left").collect()
+    assert len(rows) > 300 and all(x["total"] is not None and x["count"] <= x["total"] for x in rows)
+
+
 def test_overlapping_spans_are_masked_once(spark):
     df = spark.createDataFrame([(1, "a +4111111111111111 b x@y.zz"), (2, "é🙂 1.2.3.4, 1.2.3.4")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in pii.masked(df).collect()}
