@@ -4,7 +4,9 @@ Seeds are the matches of four strict patterns (email, ip, card, phone). Tokens a
 single other characters. The tokens around a seed are its lexical patterns: the one, two and three tokens before, the
 token after. A token that the match cuts is none. Further strings of looser forms (addresses with
 "(at)", numbers without a plus, six-part addresses, dotted card numbers) are candidates, with the same kinds of
-lexical patterns around them. In the graph of lexical patterns and instances scores are computed in turn:
+lexical patterns around them. So is what a pattern with a confidence of PROPOSE or more proposes: the run beside it, if
+it has any shape of its kind (7 to 15 or 12 to 19 digits however split, colons between hex digits, "at" or "@" with a
+host; a bare "at" needs a dot as well). In the graph of lexical patterns and instances scores are computed in turn:
 
     confidence of a pattern  = occurrences beside accepted instances / its occurrences in all texts, as the same tokens
     score of an instance     = 1 - product over its patterns of (1 - confidence)
@@ -49,18 +51,37 @@ LOOSE = {
     "card": r"(?<![0-9./])[0-9]{4}(?:[./][0-9]{4}){2,3}(?![0-9./])",
     "phone": r"(?<![0-9A-Za-z.+(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])",
 }
+#: Any shape of a kind: candidates only where a pattern proposes them.
+_OPEN, _SHUT = r"\x20?[\[({<]\x20?", r"\x20?[\])}>]\x20?"
+_HOST, _DOT = "[A-Za-z0-9-]++", rf"(?:\.|{_OPEN}(?:dot|DOT|\.){_SHUT}|\x20(?:dot|DOT)\x20)"
+_RUN = "(?<![0-9A-Za-z+])(?<![0-9][{all}]{{1,3}}){first}[0-9](?:(?:[{tight}]{{0,3}}[0-9]){{{n}}}+(?![{tight}]{{0,3}}[0-9]|[A-Za-z])|(?:[{all}]{{0,3}}[0-9]){{{n}}}+(?![{all}]{{0,3}}[0-9]|[A-Za-z]))"
+WEAK = {
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++(?:(?:{_OPEN}(?:at|AT|@){_SHUT}|\x20?@\x20?){_HOST}(?:{_DOT}{_HOST})*+|\x20(?:at|AT)\x20{_HOST}(?:{_DOT}{_HOST})++)",
+    "ip": r"(?<![0-9A-Za-z:.])(?:(?=:*[0-9A-Fa-f])(?:[0-9A-Fa-f]*+:){2,}+[0-9A-Fa-f]*+(?:\.[0-9]++){0,3}+(?![0-9A-Za-z:])"
+          r"|[0-9]{1,3}+(?:(?:\x20?[\[(](?:\.|dot|DOT)[\])]\x20?|\x20(?:dot|DOT|\.)\x20|[,_-])[0-9]{1,3}+){3}(?![0-9A-Za-z]))",
+    "card": _RUN.format(all=r"\x20./_,-", tight="./_,-", first="", n="11,18"),
+    "phone": _RUN.format(all=r"\x20()./-", tight="()./-", first="[+(]?", n="6,14"),
+}
 #: What a text must hold to be searched at all: a cheap test that most texts fail.
 GATES = {
+    # strict, loose
     ("email", True): "@", ("ip", True): r"[0-9]\.[0-9]", ("card", True): r"[0-9][\x20-]?[0-9]", ("phone", True): r"\+[0-9]",
     ("email", False): r"[\[(](?:at|AT)[\])]", ("ip", False): r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:",
     ("card", False): r"[0-9]{4}[./][0-9]{4}", ("phone", False): r"[0-9]{3}[.-][0-9]{4}",
 }
+WEAK_GATES = {
+    "email": r"@|[\x20\[({<](?:at|AT)[\x20\])}>]", "ip": r":[0-9A-Fa-f]*+:|[0-9](?:\x20?[\[(]|\x20(?:dot|DOT|\.)|[,_-])",
+    "card": r"[0-9](?:[\x20./_,-]{0,3}[0-9]){11}", "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}",
+}
 #: Characters of words, and tokens: words and single other characters.
 _WORD = r"[\p{L}\p{M}\p{N}]"
 TOKEN = rf"{_WORD}++|[^\s\p{{L}}\p{{M}}\p{{N}}]"
 #: Characters of context that are kept on either side of a match.
 CONTEXT = 48
 SUPPORT, ACCEPT, ROUNDS = 3, 0.8, 3
+PROPOSE = 0.5
+#: Marks weak spans in place of 1 for seeds and 0 for loose spans.
+WEAK_SEED = -1
 MASK = "[{}]"
 
 
@@ -108,7 +129,7 @@ def _valid(kind: str, value: Column) -> Column:
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string,before:string,after:string>>"
 
 
-def _found(text: Column, kind: str, pattern: str, check: bool) -> Column:
+def _found(text: Column, kind: str, pattern: str, gate: str, check: bool) -> Column:
     """Matches of one kind with their places and the text around them."""
     number = KINDS.index(kind)
 
@@ -126,22 +147,30 @@ def _found(text: Column, kind: str, pattern: str, check: bool) -> Column:
 
     every = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(
         F.size(m) > 0, let(F.split(text, pattern, -1), lambda p: placed(m, p)).cast(_SPAN)).otherwise(F.array().cast(_SPAN)))
-    every = F.when(text.rlike(GATES[kind, check]), every).otherwise(F.array().cast(_SPAN))
+    every = F.when(text.rlike(gate), every).otherwise(F.array().cast(_SPAN))
     return F.filter(every, lambda s: _valid(kind, s["value"])) if check else every
 
 
 def base_spans(text: Column) -> Column:
     """Spans of the strict patterns, by start, then kind."""
-    return F.array_sort(reduce(F.concat, [_found(text, k, BASE[k], True) for k in KINDS]))
+    return F.array_sort(reduce(F.concat, [_found(text, k, BASE[k], GATES[k, True], True) for k in KINDS]))
 
 
 def loose_spans(text: Column) -> Column:
-    return F.array_sort(reduce(F.concat, [_found(text, k, LOOSE[k], False) for k in KINDS]))
+    return F.array_sort(reduce(F.concat, [_found(text, k, LOOSE[k], GATES[k, False], False) for k in KINDS]))
+
+
+def weak_spans(text: Column) -> Column:
+    return F.array_sort(reduce(F.concat, [_found(text, k, WEAK[k], WEAK_GATES[k], False) for k in KINDS]))
+
 
+def _apart(loose: Column, base: Column, same: bool = False) -> Column:
+    """Those that touch no base span, or none of the same kind."""
+    def touch(b: Column, c: Column) -> Column:
+        over = (b["start"] < c["end"]) & (c["start"] < b["end"])
+        return over & (b["kind"] == c["kind"]) if same else over
 
-def _apart(loose: Column, base: Column) -> Column:
-    """Those that touch no base span."""
-    return F.filter(loose, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    return F.filter(loose, lambda c: ~F.exists(base, lambda b: touch(b, c)))
 
 
 def listed(spans: Column) -> Column:
@@ -151,11 +180,12 @@ def listed(spans: Column) -> Column:
 
 
 def scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, the text's hash, base spans and loose spans of each row."""
+    """``keep``, the text's hash, base spans, loose spans and weak spans of each row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return (
-        docs.select(*keep, F.md5(text).alias("_hash"), base_spans(text).alias("_base"), loose_spans(text).alias("_loose"))
+        docs.select(*keep, F.md5(text).alias("_hash"), base_spans(text).alias("_base"), loose_spans(text).alias("_loose"), weak_spans(text).alias("_weak"))
         .withColumn("_loose", _apart(F.col("_loose"), F.col("_base")))
+        .withColumn("_weak", _apart(_apart(F.col("_weak"), F.col("_base")), F.col("_loose"), same=True))
     )
 
 
@@ -196,6 +226,7 @@ def _from(k: int) -> Column:
 def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
     """Kind and value of the candidates that the graph accepts; None if there is no candidate with a common pattern."""
     loose = scan.select(F.explode("_loose").alias("s")).select(*_lexical("s", 0))
+    loose = loose.unionByName(scan.select(F.explode("_weak").alias("s")).select(*_lexical("s", WEAK_SEED)))
     candidates = staged(loose.groupBy("kind", "value", "seed", "pattern").agg(F.count(F.lit(1)).alias("n")))
     if candidates.isEmpty():
         return None
@@ -208,6 +239,7 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
     )
     edges = staged(candidates.unionByName(seeds))
     first = edges.where("seed = 1").select("kind", "value").distinct()
+    open_ = edges.where("seed <= 0").groupBy("kind", "value", "pattern").agg(F.max("seed").alias("seed"))
     good, found, totals, n_found = first, None, None, 0
     for _ in range(ROUNDS):
         beside = staged(
@@ -222,12 +254,14 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
             totals = counted if totals is None else totals.unionByName(counted)
         if totals is None:
             return None
-        confidence = beside.join(totals, "pattern").select("kind", "pattern", F.least(F.lit(0.99), F.col("_n") / F.col("total")).alias("confidence"))
+        confidence, size = staged_and_measured(beside.join(totals, "pattern").select("kind", "pattern", F.least(F.lit(0.99), F.col("_n") / F.col("total")).alias("confidence")))
+        confidence = F.broadcast(confidence) if size.broadcastable else confidence
         scores = (
-            edges.where("seed = 0").join(confidence, ["kind", "pattern"]).groupBy("kind", "value")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"))
+            open_.join(confidence, ["kind", "pattern"]).groupBy("kind", "value")
+            .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"), F.max("seed").alias("seed"), F.max("confidence").alias("best"))
         )
-        found = staged(scores.where(F.col("score") >= ACCEPT).select("kind", "value"))
+        candidate = (F.col("seed") > WEAK_SEED) | (F.col("best") >= PROPOSE)
+        found = staged(scores.where(candidate & (F.col("score") >= ACCEPT)).select("kind", "value"))
         # more support only raises confidences: none is lost again, and the same number is the same set
         n, n_found = n_found, found.count()
         if n_found == n:
@@ -239,7 +273,7 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
 def _added(scan: DataFrame, found: DataFrame) -> DataFrame:
     """Hash of a text and its accepted spans."""
     return staged(
-        scan.select("_hash", F.explode("_loose").alias("s")).select("_hash", "s", "s.kind", "s.value")
+        scan.select("_hash", F.explode(F.concat("_loose", "_weak")).alias("s")).select("_hash", "s", "s.kind", "s.value")
         .join(found, ["kind", "value"], "left_semi").groupBy(F.col("_hash").alias("_of")).agg(F.collect_set("s").alias("_more"))
     )
 
@@ -278,7 +312,7 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced by placeholders in ``text``; null texts stay null."""
-    scan = staged(scanned(docs, []).where((F.size("_base") > 0) | (F.size("_loose") > 0)))
+    scan = staged(scanned(docs, []).where((F.size("_base") > 0) | (F.size("_loose") > 0) | (F.size("_weak") > 0)))
     found = accepted(docs, scan)
     spans, rows = base_spans(F.col("text")), docs
     if found is not None:

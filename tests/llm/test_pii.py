@@ -105,6 +105,32 @@ def test_pattern_occurrences_are_never_fewer_than_those_beside_spans(spark):
     assert len(rows) > 300 and all(x["total"] is not None and x["count"] <= x["total"] for x in rows)
 
 
+SEEDS = {"phone": "+1 (988) 555-24{:02d}", "ip": "10.0.0.{}", "email": "n{}@host.org", "card": "4111 1111 1111 1111"}
+PROPOSED = {
+    "phone": ["5551234567", "555 123 45 67"], "ip": ["fe80::1", "10[.]0[.]0[.]7"], "email": ["name at host dot com", "j [at] x.org", "me @ x.org"],
+    "card": ["4111_1111_1111_1111", "4111 / 1111 / 1111 / 1111"],
+}
+
+
+def test_confident_patterns_propose_what_no_form_lists(spark):
+    seeds = {k: [v.format(i) for i in range(12)] for k, v in SEEDS.items()}
+    seeds["card"] = ["4111 1111 1111 1111", "5500-0000-0000-0004", "3400 0000 0000 009", "6011000000000004"] * 3
+    docs = [(100 * k + i, f"My {kind} is: {v} thanks") for k, kind in enumerate(seeds) for i, v in enumerate(seeds[kind])]
+    want, clean = {}, ["build 5551234567 done", "at 12:30:45 sharp", "look at amazon.com now", "My phone is: off", "std::vector x", "lot 4111_1111_1111_1111_2"]
+    for k, kind in enumerate(PROPOSED):
+        for i, v in enumerate(PROPOSED[kind]):
+            text = f"x My {kind} is: {v} thanks"
+            docs.append((1000 + 10 * k + i, text))
+            want[1000 + 10 * k + i] = f"{kind}:{text.index(v)}:{text.index(v) + len(v)}"
+    docs += [(2000 + i, t.replace("5551234567", "5550000000")) for i, t in enumerate(clean)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in pii.extract(df).collect()}
+    assert {i: got[i].spans for i in want} == want
+    assert [got[2000 + i].spans for i in range(len(clean))] == [""] * len(clean)
+    text = {r.doc_id: r.text for r in pii.masked(df).collect()}
+    assert text[1000] == "x My phone is: [PHONE] thanks" and text[2000] == "build 5550000000 done"
+
+
 def test_overlapping_spans_are_masked_once(spark):
     df = spark.createDataFrame([(1, "a +4111111111111111 b x@y.zz"), (2, "é🙂 1.2.3.4, 1.2.3.4")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in pii.masked(df).collect()}
