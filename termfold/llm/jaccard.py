@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termfold.llm.components import components
 from termfold.llm.shared import ship_package, sliced, table
@@ -428,34 +429,59 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block: int = B
 
 
 def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, that with the smallest doc_id, with all its columns.
+    """One row of each component, that with the smallest doc_id (null last) and class, with all its columns.
 
-    Of repeated rows of that document one stays. Documents without doc_id can't be told apart, and all stay. Only
-    documents that may go, named by a filter of fixed size, travel to be compared with the list of those that do.
+    Rows are judged by doc_id and class: an id with several texts is several documents, and rows without an id go like
+    others. Of rows with an id and no words one stays for each id; those without either can't be told apart, and all
+    stay. Only rows that may go, named by a filter of fixed size, travel to be compared with the list of those that do.
     """
     spark = docs.sparkSession
-    found = staged(join(docs, n, percent).where(F.col("doc_id").isNotNull()))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    asked = staged(gone.withColumn("_gone", F.lit(True)).unionByName(repeated.join(gone, "doc_id", "left_anti").withColumn("_gone", F.lit(False))))
-    named = asked.select("doc_id").mapInArrow(_filter_parts, "part int, data binary")
+    rows, roots = linked_classes(docs, n, percent)
+    by_class = rows.where(F.col("class").isNotNull()).groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id")).alias("least"))
+    rooted = staged(by_class.join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+    by_root = rooted.groupBy("root").agg(F.sum("n").alias("_n"), F.min(F.struct("least", "class")).alias("stays")).where("_n > 1")
+    several = staged(rooted.join(by_root, "root").select("class", F.col("stays.class").alias("_class"), F.col("stays.least.doc_id").alias("_id")))
+    stays = (F.col("class") == F.col("_class")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    judged = rows.join(several, "class").select("doc_id", "class", stays.alias("stays")).distinct()
+    wordless = rows.where(F.col("class").isNull() & F.col("doc_id").isNotNull()).groupBy("doc_id", "class").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    asked = staged(judged.unionByName(wordless.select("doc_id", "class", F.lit(True).alias("stays"))).toDF("_asked_id", "_asked_class", "_stays"))
+    named = asked.where(F.col("_asked_id").isNotNull()).select("_asked_id").distinct().mapInArrow(_filter_parts, "part int, data binary")
     bits = spark.sparkContext.broadcast(
         _gathered(named.groupBy("part").applyInPandas(_either, "part int, data binary"), FILTER_BITS // 8, FILTER_PART, np.uint8))
-    column = docs.columns.index("doc_id")
-    clear = docs.mapInArrow(partial(_named, bits=bits, column=column, named=False), docs.schema)
-    unclear = docs.mapInArrow(partial(_named, bits=bits, column=column, named=True), docs.schema)
-    judged = unclear.join(asked, "doc_id", "left")
-    free = judged.where(F.col("_gone").isNull())
-    once = judged.where(~F.col("_gone")).dropDuplicates(["doc_id"])
-    return clear.unionByName(free.select(*docs.columns)).unionByName(once.select(*docs.columns))
+    at = {"column": docs.columns.index("doc_id"), "text": docs.columns.index("text"), "n": n, "bits": bits}
+    clear = docs.mapInArrow(partial(_named, named=False, **at), docs.schema)
+    unclear = docs.mapInArrow(partial(_named, named=True, **at), T.StructType([*docs.schema.fields, T.StructField("_of_class", T.LongType())]))
+    same = F.col("doc_id").eqNullSafe(F.col("_asked_id")) & F.col("_of_class").eqNullSafe(F.col("_asked_class"))
+    stay = unclear.join(asked, same, "left").where(F.coalesce("_stays", F.lit(True))).dropDuplicates(["doc_id", "_of_class"])
+    return clear.unionByName(stay.select(*docs.columns))
 
 
-def _named(batches, bits, column: int, named: bool):
-    """Rows whose doc_id the filter names, or those that it does not."""
-    for b in batches:
+def _named(batches, bits, column: int, text: int, n: int, named: bool):
+    """Rows whose doc_id the filter names or that have none, with their class and each id and class once; or the others.
+
+    Rows with neither id nor words are among the others.
+    """
+    seen: set[tuple] = set()
+    for b in sliced(batches):
         ids = b.column(column)
-        hit = _wanted(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), bits.value) & np.array(ids.is_valid())
-        yield b.filter(pa.array(hit if named else ~hit))
+        valid = np.array(ids.is_valid(), bool)
+        hit = ~valid | _wanted(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), bits.value)
+        classes: list[int | None] = [None] * b.num_rows
+        places = np.flatnonzero(hit)
+        for i, t in zip(places, b.column(text).cast(pa.binary()).take(pa.array(places)).to_pylist()):
+            s = shingles(t or b"", n)
+            classes[i] = _class_of(s) if len(s) else None
+            hit[i] = valid[i] or len(s) > 0
+        if not named:
+            yield b.filter(pa.array(~hit))
+            continue
+        for i in np.flatnonzero(hit):
+            key = (ids[i].as_py(), classes[i])
+            hit[i] = key not in seen                             # one of them stays at most
+            seen.add(key)
+        more = pa.RecordBatch.from_arrays([*b.columns, pa.array(classes, pa.int64())], names=[*b.schema.names, "_of_class"])
+        yield more.filter(pa.array(hit))
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,12 @@ def test_one_document_of_each_group_stays(spark):
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is not None, i))
     assert ids == [None, 1, 2, 3, 4, 6, 7, 8]
     assert jaccard.distinct_documents(empty(spark)).collect() == []
+
+
+def test_documents_are_told_apart_by_id_and_text(spark):
+    """One id with several texts, also copied under other ids; copies without an id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    docs = [(1, a), (1, b), (2, b), (3, c), (1, d), (None, c), (None, "n o i d"), (None, "N o i d"), (9, b + " more"), (7, ""), (7, None), (None, ""), (None, " ")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, place long").repartition(4)
+    kept = sorted((r.doc_id or 0, (r.text or "").strip().lower()) for r in jaccard.distinct_documents(df).collect())
+    assert kept == sorted([(1, a), (1, b), (3, c), (1, d), (0, "n o i d"), (7, ""), (0, ""), (0, "")])
