@@ -11,7 +11,7 @@ from tests.llm.test_jaccard import brute
 
 def test_all_queries_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
     assert set(E.oracle_sql()) <= names
 
 
