@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termfold.functions.text import norm, one_of
 from termfold.operators.joins import join_counts
-from termfold.operators.staging import staged
+from termfold.operators.ranges import bounds, order_text, parts_for, place, salted
+from termfold.operators.staging import staged, staged_and_measured
 from termfold.plans import fixed_values as V
 
 KEY = "EQUIV_CLS"
@@ -103,25 +104,48 @@ def report_columns(df: DataFrame) -> list[str]:
     return out
 
 
-def report(
-    df: DataFrame, by: list[str] | None = None, sizes: DataFrame | None = None, ordered: bool = True
-) -> DataFrame:
+CARRIER = -1                # stands in for the heading where a class goes on in another partition
+
+
+def report(df: DataFrame, by: list[str] | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Review report: heading, member and blank rows, in both sections.
 
-    ``sizes``: staged class sizes, if known already. The rows are sorted by class,
-    kind of row and LOINC_NUM before they are listed in their sections, so each row is
-    shuffled once and each section, read by itself, is in order. LOINC_NUM is part of
-    the sort key: the range partitions of a large class are split like any others.
+    ``keys``: the key columns and LOINC_NUM of the same rows, if they can be had at less cost than from ``df``. They are
+    written once, for the class sizes and for a sample of the report's order. All rows are then dealt once, by
+    class, kind of row and LOINC_NUM, so a large class is split like any others, and sorted. The count comes from the
+    class's first row in each partition: its heading, or a carrier of the count where the class began before. Rows are
+    listed in their sections last, so each section, read by itself, is in order.
     """
     by = by or []
     columns = report_columns(df)
-    sizes = staged(class_sizes(df, by)) if sizes is None else sizes
-    rows = (
-        member_rows(add_class_counts(df.select(*by, *columns), by, sizes))
-        .unionByName(heading_rows(sizes), allowMissingColumns=True)
-        .unionByName(blank_rows(sizes), allowMissingColumns=True)
+    keys = staged((df if keys is None else keys).select(*by, KEY, "LOINC_NUM"))
+    sizes, size = staged_and_measured(class_sizes(keys, by), COUNT)
+    rows = size.total + 2 * size.rows
+    parts = parts_for(df.sparkSession, rows)
+
+    def order(kind: int, last: Column) -> Column:
+        return order_text(*[F.col(c) for c in by], F.col(CLASS), F.lit(kind), last)
+
+    none = F.lit("")
+    weighed = keys.withColumn(CLASS, norm(KEY)).select(order(MEMBER, F.col("LOINC_NUM")).alias("_order"), F.lit(1).alias("_weight")).unionByName(
+        sizes.select(order(HEADING, none).alias("_order"), F.lit(2).alias("_weight")))
+    cuts = bounds(weighed, rows, parts)
+
+    def dealt(rows: DataFrame, text: Column) -> DataFrame:
+        return rows.withColumn("_part", place(text, cuts))
+
+    members = member_rows(df.select(*by, *columns).withColumn(CLASS, norm(KEY)))
+    members = dealt(members, salted(order(MEMBER, F.col("LOINC_NUM")), members.columns))
+    heads, blanks = dealt(heading_rows(sizes), order(HEADING, none)), dealt(blank_rows(sizes), order(BLANK, none))
+    goes_on = F.sequence(place(order(HEADING, none), cuts) + 1, F.col("_to"))
+    carriers = (
+        sizes.withColumn("_to", place(order(BLANK, none), cuts)).where(F.col("_to") > place(order(HEADING, none), cuts))
+        .select(*by, CLASS, COUNT, F.lit(CARRIER).alias("row_kind"), F.explode(goes_on).alias("_part"))
     )
-    if ordered:
-        rows = rows.orderBy(*by, CLASS, "row_kind", "LOINC_NUM")
+    for extra in (heads, blanks, carriers):
+        members = members.unionByName(extra, allowMissingColumns=True)
+    in_order = Window.partitionBy("_part", *by, CLASS).orderBy("row_kind", F.col("LOINC_NUM").asc_nulls_first())
+    counted = members.repartitionById(parts, F.col("_part")).withColumn(
+        COUNT, F.first(COUNT).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     listed = F.explode(sections(F.col(COUNT))).alias("section")
-    return rows.select(*by, listed, "row_kind", "Heading", *columns, "SORT_ORDER")
+    return counted.where(F.col("row_kind") >= 0).select(*by, listed, "row_kind", "Heading", *columns, "SORT_ORDER")

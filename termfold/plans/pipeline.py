@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from termfold.functions.text import blank, class_key, head, like_any, norm_text, one_of
 from termfold.operators import joins
-from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, class_sizes, report, set_units
+from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, report, set_units
 from termfold.operators.coarsen import TOGETHER
 from termfold.operators.coarsen import PROFILE, Profiles, apply_rules, duplicate, local_table
 from termfold.operators.rules import EQ
-from termfold.operators.staging import staged
 from termfold.plans import fixed_values as V
 from termfold.plans.profiles import PROFILES, Profile
 from termfold.sources.terms import CLASS_KEY, TERM_SCHEMA, class_of, class_subset, require_columns
@@ -183,23 +182,20 @@ def together(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def run(
-    terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups(), ordered: bool = True
-) -> DataFrame:
+def run(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Lookups = Lookups()) -> DataFrame:
     """Review report of the profiles' classes.
 
-    Class sizes come first, from the key columns alone; the report then reads the
-    terms once more with everything it shows. Of several profiles, each shows an
-    attribute only where it revises it.
+    The keys come first, from the key columns alone; the report then reads the terms once more with everything it
+    shows. Of several profiles, each shows an attribute only where it revises it.
     """
     check_run(terms, profiles, lookups)
     keyed = [(key_terms(terms, family, lookups), family) for family in families(terms, profiles)]
-    sizes = staged(class_sizes(together([k.select(PROFILE, KEY) for k, _ in keyed]), [PROFILE]))
+    keys = together([k.select(PROFILE, KEY, "LOINC_NUM") for k, _ in keyed])
     df = together([enrich(k, family, lookups) for k, family in keyed])
     if len(profiles) > 1:
         shown = {s: r for r, s in REVISED_PAIRS.items() if r in df.columns}
         df = df.withColumns({s: F.when(F.col(r).isNotNull(), F.col(s)) for s, r in shown.items()})
-    return report(df, [PROFILE], sizes, ordered)
+    return report(df, [PROFILE], keys)
 
 
 def run_edited(
