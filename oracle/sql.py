@@ -415,8 +415,10 @@ def rule_table_apply_sql() -> str:
         FROM one LEFT JOIN rules b ON b.value = {n(h('one.c'))} AND b.seq > one.seq"""
 
 
-def report_output_sql() -> str:
-    return " UNION ALL BY NAME ".join(f"(SELECT * FROM ({class_sql(v)}))" for v in ("FERT", "UA"))
+def sheet_rows_sql() -> str:
+    order = f"{n('CASE WHEN row_kind = 2 THEN left(SORT_ORDER, length(SORT_ORDER) - 9) ELSE SORT_ORDER END')}, row_kind, LOINC_NUM"
+    return (f"SELECT section, row_number() OVER (PARTITION BY section ORDER BY {order}) AS row_number, row_kind, Heading, LOINC_NUM, SORT_ORDER "
+            f"FROM ({class_sql('CELLMARK')})")
 
 
 def long_keys_sql() -> str:
@@ -481,7 +483,8 @@ def operator_sql() -> dict[str, str]:
         "class_micro_legacy": micro_legacy_sql(),
         "all_classes": all_classes_sql(),
         "rule_table_apply": rule_table_apply_sql(),
-        "report_output": report_output_sql(),
+        "report_output": all_classes_sql(),
+        "sheet_rows": sheet_rows_sql(),
         "long_keys": long_keys_sql(),
     }
 

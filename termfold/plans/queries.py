@@ -15,7 +15,7 @@ from termfold.plans import fixed_values as V
 from termfold.plans import legacy, pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES, all_rules
 from termfold.operators.staging import new_path
-from termfold.sources.results import write_reports
+from termfold.sources.results import SECTIONS, read_report, read_sheet, write_reports
 from termfold.sources.rulebook import apply_rule_table, rule_hits
 from termfold.sources.sample import Sample
 from termfold.sources.terms import class_subset
@@ -192,11 +192,19 @@ def rule_table_apply_q(s: Sample) -> DataFrame:
 
 
 def report_output_q(s: Sample) -> DataFrame:
-    """Two classes written and read back."""
+    """All classes written in one job, one of them replaced, and the current output read back."""
     path = new_path(s.spark)
-    for name in ("FERT", "UA", "FERT"):
-        write_reports(s.terms, path, [BY_NAME[name]])
-    return s.spark.read.option("mergeSchema", True).parquet(path)
+    write_reports(s.terms, path, PROFILES, lookups(s))
+    write_reports(s.terms, path, [BY_NAME["UA"]])
+    return read_report(s.spark, path)
+
+
+def sheet_rows_q(s: Sample) -> DataFrame:
+    """Place of each row in the sheets of one class, as they are written."""
+    path = new_path(s.spark)
+    write_reports(s.terms, path, [BY_NAME["CELLMARK"]])
+    sheets = [read_sheet(s.spark, path, "CELLMARK", section).withColumn("section", F.lit(section)) for section in SECTIONS]
+    return pipeline.together(sheets).select("section", "row_number", "row_kind", "Heading", "LOINC_NUM", "SORT_ORDER")
 
 
 def long_keys_q(s: Sample) -> DataFrame:

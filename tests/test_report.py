@@ -15,7 +15,6 @@ from termfold.operators import joins as J
 from termfold.operators import staging
 from termfold.plans import pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES
-from termfold.sources.results import results_path, write_report, write_reports
 from termfold.sources.sample import Sample
 from termfold.sources.terms import class_subset, write_terms
 
@@ -81,46 +80,6 @@ def test_terms_not_stored_by_class_take_one_pass(sample, lookups, full):
     assert sorted(map(str, got.values.tolist())) == sorted(map(str, full[list(got.columns)].values.tolist()))
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "csv"])
-def test_report_is_written_per_class_and_section(spark, sample, full, tmp_path, fmt):
-    path = str(tmp_path / fmt)
-    report = pipeline.run(sample.terms, [BY_NAME["HEMBC"], BY_NAME["FERT"]])
-    write_report(report, path, fmt)
-    write_report(report, path, fmt)
-    where = results_path(path, "HEM/BC", "all groups")
-    assert os.path.isdir(where)
-    got = spark.read.format(fmt).option("header", True).load(where)
-    want = full[(full.profile == "HEMBC") & (full.section == "all groups")]
-    assert got.count() == len(want)
-    files = sorted(f for f in os.listdir(where) if f.startswith("part-"))
-    stored = [r.SORT_ORDER for f in files for r in
-              spark.read.format(fmt).option("header", True).load(f"{where}/{f}").coalesce(1).collect()]
-    assert stored == want.SORT_ORDER.tolist()
-
-
-def test_writing_a_class_leaves_the_others(spark, sample, full, tmp_path):
-    path = str(tmp_path / "out")
-    write_reports(sample.terms, path, [BY_NAME["UA"], BY_NAME["FERT"]])
-    write_reports(sample.terms, path, [BY_NAME["UA"]])
-    assert sorted(os.listdir(path)) == ["profile=FERT", "profile=UA"]
-    for name in ("UA", "FERT"):
-        got = spark.read.parquet(f"{path}/profile={name}")
-        assert got.count() == len(full[full.profile == name])
-        assert ("TIME_REV" in got.columns, "WARNING" in got.columns) == (False, False)
-
-
-def test_a_class_that_shrinks_leaves_nothing_stale(spark, sample, tmp_path):
-    path = str(tmp_path / "out")
-    write_reports(sample.terms, path, [BY_NAME["UA"]])
-    single = class_subset(sample.derived_terms(), ["UA"]).limit(1)
-    write_reports(single, path, [BY_NAME["UA"]])
-    sizes = [spark.read.parquet(results_path(path, "UA", s)).count() for s in ("group size > 1", "all groups")]
-    assert sizes == [0, 3]
-    write_reports(single.where("false"), path, [BY_NAME["UA"]])
-    sizes = [spark.read.parquet(results_path(path, "UA", s)).count() for s in ("group size > 1", "all groups")]
-    assert sizes == [0, 0]
-
-
 def test_staged_tables_go_with_the_session(tmp_path):
     code = f"""
 from pyspark.sql import SparkSession
