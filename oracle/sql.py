@@ -415,6 +415,36 @@ def rule_table_apply_sql() -> str:
         FROM one LEFT JOIN rules b ON b.value = {n(h('one.c'))} AND b.seq > one.seq"""
 
 
+def pattern_table_sql() -> str:
+    patterns = """SELECT CASE s_suppkey % 4 WHEN 0 THEN concat('%nalyte ', s_suppkey) WHEN 1 THEN concat('ANALYTE ', s_suppkey, '_')
+        WHEN 2 THEN concat('An%te ', s_suppkey, '%') ELSE concat('analyte ', s_suppkey) END AS pattern FROM supplier"""
+    return f"""WITH {TERMS}, patterns AS ({patterns}),
+        heads AS (SELECT v, EXISTS (SELECT 1 FROM patterns WHERE v ILIKE pattern) AS kept FROM (SELECT DISTINCT {h('COMPONENT')} AS v FROM terms))
+        SELECT LOINC_NUM, CASE WHEN NOT kept THEN {regroup('Component-Other', 'COMPONENT')} ELSE COMPONENT END AS COMPONENT
+        FROM terms LEFT JOIN heads ON v = {h('COMPONENT')}"""
+
+
+def default_group_table_sql() -> str:
+    groups = """SELECT CASE WHEN s_suppkey % 5 = 0 THEN concat('Anal_te ', s_suppkey) ELSE concat('ANALYTE ', s_suppkey, ' ') END AS grp FROM supplier"""
+    kept = f"EXISTS (SELECT 1 FROM region WHERE {h('c')} ILIKE concat('%', substring(r_name, 1, 2), '%'))"
+    return f"""WITH {TERMS}, groups AS ({groups}),
+        found AS (SELECT c, {kept} OR EXISTS (SELECT 1 FROM groups WHERE {n('c')} = {n('grp')} OR c ILIKE concat(grp, '^%')) AS stays
+                  FROM (SELECT DISTINCT COMPONENT AS c FROM terms))
+        SELECT LOINC_NUM, CASE WHEN NOT stays THEN {regroup('Component-Other', 'COMPONENT')} ELSE COMPONENT END AS COMPONENT
+        FROM terms LEFT JOIN found ON c = COMPONENT"""
+
+
+def warning_table_sql() -> str:
+    return f"""WITH {TERMS}, rules AS (SELECT s_suppkey AS seq,
+          lower(rtrim(list_extract(['Ser', 'ser/plas', 'Urine', 'BldA', 'Stool', 'CSF'], 1 + s_suppkey % 6))) AS s1,
+          lower(list_extract(['Bld', 'Plas', 'BldV', 'BldC'], 1 + s_suppkey % 4)) AS s2,
+          concat('analyte ', s_suppkey % 40) AS c1, concat('analyte ', s_suppkey % 7) AS c2 FROM supplier),
+        found AS (SELECT c, s, max(seq) AS seq FROM (SELECT DISTINCT {n('COMPONENT')} AS c, {n('SYSTEM')} AS s FROM terms) t
+                  JOIN rules ON s IN (s1, s2) AND c IN (c1, c2) GROUP BY c, s)
+        SELECT LOINC_NUM, COMPONENT, SYSTEM, CASE WHEN seq IS NOT NULL THEN concat('warning ', seq) END AS WARNING
+        FROM terms LEFT JOIN found ON c = {n('COMPONENT')} AND s = {n('SYSTEM')}"""
+
+
 def sheet_rows_sql() -> str:
     order = f"{n('CASE WHEN row_kind = 2 THEN left(SORT_ORDER, length(SORT_ORDER) - 9) ELSE SORT_ORDER END')}, row_kind, LOINC_NUM"
     return (f"SELECT section, row_number() OVER (PARTITION BY section ORDER BY {order}) AS row_number, row_kind, Heading, LOINC_NUM, SORT_ORDER "
@@ -485,6 +515,9 @@ def operator_sql() -> dict[str, str]:
         "rule_table_apply": rule_table_apply_sql(),
         "report_output": all_classes_sql(),
         "sheet_rows": sheet_rows_sql(),
+        "pattern_table": pattern_table_sql(),
+        "default_group_table": default_group_table_sql(),
+        "warning_table": warning_table_sql(),
         "long_keys": long_keys_sql(),
     }
 

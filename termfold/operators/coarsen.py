@@ -186,6 +186,20 @@ def condition(rule: R.Rule, target: str, rules: list[R.Rule]) -> Column:
         return F.lit(True)
     free = ~like_any(first, list(rule.values))
     if rule.kind == R.DEFAULT:
-        taken = [one_of(target, [g]) | like(target, g + "^%") for g in R.siblings(rules, rule)]
-        free = reduce(lambda a, b: a & ~b, taken, free)
+        free = free & ~in_a_group(target, R.siblings(rules, rule))
     return free
+
+
+def in_a_group(target: str, names: list[str]) -> Column:
+    """Is a value one of the names, or one of them followed by sub-parts?
+
+    However many names there are, it is two membership tests: a value with sub-parts begins with a name if its head is the
+    name. Names with wildcards are patterns, each tested by itself.
+    """
+    if not names:
+        return F.lit(False)
+    plain = [g for g in names if not any(c in g for c in "%_[^")]
+    held = one_of(target, names)
+    if plain:
+        held = held | (F.col(target).contains("^") & F.lower(head(target)).isin(sorted({g.lower() for g in plain})))
+    return reduce(lambda a, g: a | like(target, g + "^%"), [g for g in names if g not in plain], held)

@@ -10,6 +10,8 @@ from termfold.operators import classes as C
 from termfold.operators import columns as K
 from termfold.operators import joins as J
 from termfold.operators.coarsen import apply_rules, duplicate
+from termfold.operators.conjunctions import add_warning_table
+from termfold.operators.patterns import default_group_table, skip_pattern_table
 from termfold.operators.rules import assign, groups, rules_of
 from termfold.plans import fixed_values as V
 from termfold.plans import legacy, pipeline
@@ -191,6 +193,36 @@ def rule_table_apply_q(s: Sample) -> DataFrame:
     return apply_rule_table(s.terms.select("LOINC_NUM", "COMPONENT"), "COMPONENT", rules)
 
 
+def component_patterns(s: Sample) -> DataFrame:
+    """A pattern for each supplier: with wildcards at either end, in the middle, or none."""
+    return s.table("supplier").selectExpr(
+        "CASE s_suppkey % 4 WHEN 0 THEN concat('%nalyte ', s_suppkey) WHEN 1 THEN concat('ANALYTE ', s_suppkey, '_') "
+        "WHEN 2 THEN concat('An%te ', s_suppkey, '%') ELSE concat('analyte ', s_suppkey) END AS pattern")
+
+
+def pattern_table_q(s: Sample) -> DataFrame:
+    """As many patterns as there are suppliers; components like none of them are grouped."""
+    return skip_pattern_table(s.terms.select("LOINC_NUM", "COMPONENT"), "COMPONENT", component_patterns(s), "Component-Other")
+
+
+def default_group_table_q(s: Sample) -> DataFrame:
+    """The default group beside as many groups as there are suppliers."""
+    siblings = s.table("supplier").selectExpr("CASE WHEN s_suppkey % 5 = 0 THEN concat('Anal_te ', s_suppkey) ELSE concat('ANALYTE ', s_suppkey, ' ') END AS grp")
+    return default_group_table(s.terms.select("LOINC_NUM", "COMPONENT"), "COMPONENT", siblings, s.table("region").selectExpr("concat('%', substring(r_name, 1, 2), '%') AS pattern"), "Component-Other")
+
+
+def warning_table_q(s: Sample) -> DataFrame:
+    """Rules of two columns, one for each supplier."""
+    systems = F.expr("element_at(array('Ser', 'ser/plas ', 'Urine', 'BldA', 'Stool', 'CSF'), CAST(1 + s_suppkey % 6 AS INT))")
+    other = F.expr("element_at(array('Bld', 'Plas', 'BldV', 'BldC'), CAST(1 + s_suppkey % 4 AS INT))")
+    one, two = F.expr("concat('analyte ', s_suppkey % 40)"), F.expr("concat('Analyte ', s_suppkey % 7, ' ')")
+    cell = lambda c, v: F.struct(F.lit(c).alias("col"), v.alias("value"))
+    rules = s.table("supplier").select(
+        F.col("s_suppkey").alias("seq"), F.concat(F.lit("warning "), F.col("s_suppkey")).alias("message"),
+        F.inline(F.array(cell("SYSTEM", systems), cell("SYSTEM", other), cell("COMPONENT", one), cell("COMPONENT", two))))
+    return add_warning_table(s.terms.select("LOINC_NUM", "COMPONENT", "SYSTEM"), rules)
+
+
 def report_output_q(s: Sample) -> DataFrame:
     """All classes written in one job, one of them replaced, and the current output read back."""
     path = new_path(s.spark)
