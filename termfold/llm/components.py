@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from termfold.llm.shared import ship_package
 from termfold.operators.staging import staged
 
-ROUNDS = 60
-
-
 def _contracted(batches):
     """Links of one partition become stars: every node points to the least of its component there."""
     parent: dict[int, int] = {}
@@ -41,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     ship_package(links.sparkSession)
     edges = links.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    for _ in range(ROUNDS):
+    while True:                       # each round at least halves the longest chain
         # contracted where they are first, a node has one link a partition at most: none is a hot key
         local = edges.mapInArrow(_contracted, "u long, v long")
         stars = staged(local.repartition("u").mapInArrow(_contracted, "u long, v long"))
@@ -51,4 +48,3 @@ def components(links: DataFrame) -> DataFrame:
         if not several and not stars.join(above, "v", "left_semi").limit(1).count():
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         edges = stars.join(above, "v", "left").select("u", F.coalesce("w", "v").alias("v")).distinct()
-    raise RuntimeError("components did not settle")

@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termfold.llm.components import components
-from termfold.llm.shared import ship_package, sliced, table
+from termfold.llm.shared import ship_package, sliced, table, unused_prefix
 from termfold.operators.staging import staged
 
 WORDS, PERCENT = 3, 90
+#: Rows that a task remembers so as to pass each once.
+SEEN = 1_000_000
 #: Counters of the sketch of shingle frequencies (4 bytes each), and those sent in one row.
 SKETCH, SKETCH_PART = 1 << 20, 1 << 13
 #: Bucket counts kept of each set.
@@ -445,19 +447,21 @@ def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     stays = (F.col("class") == F.col("_class")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     judged = rows.join(several, "class").select("doc_id", "class", stays.alias("stays")).distinct()
     wordless = rows.where(F.col("class").isNull() & F.col("doc_id").isNotNull()).groupBy("doc_id", "class").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    asked = staged(judged.unionByName(wordless.select("doc_id", "class", F.lit(True).alias("stays"))).toDF("_asked_id", "_asked_class", "_stays"))
-    named = asked.where(F.col("_asked_id").isNotNull()).select("_asked_id").distinct().mapInArrow(_filter_parts, "part int, data binary")
+    own = unused_prefix(docs.columns)
+    asked_id, asked_class, of_class, stays = (own + c for c in ("asked_id", "asked_class", "of_class", "stays"))
+    asked = staged(judged.unionByName(wordless.select("doc_id", "class", F.lit(True).alias("stays"))).toDF(asked_id, asked_class, stays))
+    named = asked.where(F.col(asked_id).isNotNull()).select(F.col(asked_id).alias("_asked_id")).distinct().mapInArrow(_filter_parts, "part int, data binary")
     bits = spark.sparkContext.broadcast(
         _gathered(named.groupBy("part").applyInPandas(_either, "part int, data binary"), FILTER_BITS // 8, FILTER_PART, np.uint8))
-    at = {"column": docs.columns.index("doc_id"), "text": docs.columns.index("text"), "n": n, "bits": bits}
+    at = {"column": docs.columns.index("doc_id"), "text": docs.columns.index("text"), "n": n, "bits": bits, "added": of_class}
     clear = docs.mapInArrow(partial(_named, named=False, **at), docs.schema)
-    unclear = docs.mapInArrow(partial(_named, named=True, **at), T.StructType([*docs.schema.fields, T.StructField("_of_class", T.LongType())]))
-    same = F.col("doc_id").eqNullSafe(F.col("_asked_id")) & F.col("_of_class").eqNullSafe(F.col("_asked_class"))
-    stay = unclear.join(asked, same, "left").where(F.coalesce("_stays", F.lit(True))).dropDuplicates(["doc_id", "_of_class"])
+    unclear = docs.mapInArrow(partial(_named, named=True, **at), T.StructType([*docs.schema.fields, T.StructField(of_class, T.LongType())]))
+    same = F.col("doc_id").eqNullSafe(F.col(asked_id)) & F.col(of_class).eqNullSafe(F.col(asked_class))
+    stay = unclear.join(asked, same, "left").where(F.coalesce(stays, F.lit(True))).dropDuplicates(["doc_id", of_class])
     return clear.unionByName(stay.select(*docs.columns))
 
 
-def _named(batches, bits, column: int, text: int, n: int, named: bool):
+def _named(batches, bits, column: int, text: int, n: int, named: bool, added: str):
     """Rows whose doc_id the filter names or that have none, with their class and each id and class once; or the others.
 
     Rows with neither id nor words are among the others.
@@ -480,7 +484,9 @@ def _named(batches, bits, column: int, text: int, n: int, named: bool):
             key = (ids[i].as_py(), classes[i])
             hit[i] = key not in seen                             # one of them stays at most
             seen.add(key)
-        more = pa.RecordBatch.from_arrays([*b.columns, pa.array(classes, pa.int64())], names=[*b.schema.names, "_of_class"])
+            if len(seen) > SEEN:                                 # repeats go later all the same
+                seen.clear()
+        more = pa.RecordBatch.from_arrays([*b.columns, pa.array(classes, pa.int64())], names=[*b.schema.names, added])
         yield more.filter(pa.array(hit))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termfold.llm.shared import WORD, table
+from termfold.llm.shared import WORD, table, unused_prefix
 from termfold.operators.staging import staged
 
 #: Weights by a source's place in code point order, repeating.
@@ -139,21 +139,22 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     The document at a source's cut is kept whole if at least half of it is within the budget. Documents without
     words go with their key like all others. The columns are those of ``docs``.
     """
-    keyed = staged(sized(docs))
-    cut = _cut_table(keyed, weights, share, most)
-    columns = docs.columns
-    extra = docs.withColumns({"_mix_key": _key(), "_size": _size()})
+    own = unused_prefix(docs.columns)
+    cut = _cut_table(staged(sized(docs)), weights, share, most)
+    cut = cut.select(*[F.col(c).alias(own + c) for c in cut.columns])
+    key, size, copies = (F.col(own + c) for c in ("mix_key", "size", "copies"))
     once_more = (
-        F.when(F.col("cut_key").isNull() | (F.col("_mix_key") > F.col("cut_key")), F.lit(0))
-        .when(F.col("_mix_key") < F.col("cut_key"), F.lit(1))
-        .otherwise(F.when(2 * F.col("cut_words") >= F.col("_size"), F.lit(1)).otherwise(F.lit(0)))
+        F.when(F.col(own + "cut_key").isNull() | (key > F.col(own + "cut_key")), F.lit(0))
+        .when(key < F.col(own + "cut_key"), F.lit(1))
+        .otherwise(F.when(2 * F.col(own + "cut_words") >= size, F.lit(1)).otherwise(F.lit(0)))
     )
     return (
-        extra.join(cut, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_copies", (F.col("epochs") + once_more).cast("int"))
-        .where(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*columns)
+        docs.withColumns({own + "mix_key": _key(), own + "size": _size()})
+        .join(cut, F.col("source").eqNullSafe(F.col(own + "_source")))
+        .withColumn(own + "copies", (F.col(own + "epochs") + once_more).cast("int"))
+        .where(copies > 0)
+        .withColumn(own + "copy", F.explode(F.sequence(F.lit(1), copies)))
+        .select(*docs.columns)
     )
 
 

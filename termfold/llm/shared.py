@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def unused_prefix(columns: list[str]) -> str:
+    """A beginning that no column's name has, whatever the case: names made with it clash with none."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def sliced(batches, rows: int = 512):
     """The same rows in smaller batches, so that few of them are Python objects at a time."""
     for b in batches:

@@ -1,6 +1,7 @@
 """The pipeline: columns and decisions of each stage, and the registered queries."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
@@ -60,3 +61,20 @@ def test_odd_and_empty_tables(spark, sf_dir):
         for _, stage in P.STAGES:
             docs = P.staged(stage(spark, docs, sf_dir))
         assert docs.columns == ["doc_id", "n_tokens", "ids"]
+
+
+#: Names that the stages use on the way, in several spellings.
+INNER = ["target", "epochs", "cut_key", "cut_words", "source_size", "_source", "_of_class", "_asked_id", "_ASKED_CLASS", "_stays", "_mix_key", "__size",
+         "_copies", "_copy", "_hash", "_base", "_more", "class", "root", "bits", "score", "predicted", "stays", "_of", "held_out", "quality"]
+
+
+def test_stages_keep_clashing_columns(spark, sf_dir):
+    """Columns named like a stage's own come through, and the decisions are those without them."""
+    plain = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long"))
+    wide = plain.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in INNER})
+    for name, stage in P.STAGES[:-1]:
+        plain, wide = P.staged(stage(spark, plain, sf_dir)), P.staged(stage(spark, wide, sf_dir))
+        assert wide.columns == [*plain.columns, *INNER], name
+        assert sorted(map(str, wide.select(*plain.columns).collect())) == sorted(map(str, plain.collect())), name
+        assert wide.where(" OR ".join(f"`{c}` <> concat('{c}', coalesce(CAST(doc_id AS STRING), ''))" for c in INNER)).count() == 0, name
+    assert P.STAGES[-1][1](spark, wide, sf_dir).count() == wide.count()
