@@ -103,6 +103,7 @@ def parse(page: str) -> list[Node]:
     """Block elements in page order, the root first; a node's parent comes before it."""
     nodes = [Node("root", "none", -1, "")]
     stack: list[tuple[str, int]] = [("root", 0)]      # open elements, with the block that holds their text
+    places: defaultdict[str, list[int]] = defaultdict(list)     # where in the stack each kind of element is open
     silent = links = place = 0
     text: list[str] = []
     holder = 0
@@ -120,6 +121,7 @@ def parse(page: str) -> list[Node]:
         nonlocal silent, links, holder
         while len(stack) > k:
             tag, _ = stack.pop()
+            places[tag].pop()
             if tag in SILENT:
                 silent -= 1
             if tag == "a":
@@ -128,6 +130,14 @@ def parse(page: str) -> list[Node]:
                 flush()
         holder = stack[-1][1]
 
+    def opened(tag: str):
+        places[tag].append(len(stack))
+        stack.append((tag, holder))
+
+    def last(tags) -> int:
+        """Place of the innermost open element of these kinds, 0 without one."""
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
     pos, size = 0, len(page)
     while pos < size:
         m = _TOKEN.match(page, pos)
@@ -151,10 +161,8 @@ def parse(page: str) -> list[Node]:
         if closing:
             if tag == "br":
                 text.append(" ")
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close_to(k)
-                    break
+            if places[tag]:
+                close_to(places[tag][-1])
             continue
         if tag in ("br", "wbr", "hr") or tag in VOID:
             if tag not in INLINE:
@@ -165,27 +173,16 @@ def parse(page: str) -> list[Node]:
             end = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = end.end() if end else size
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    close_to(k)
-                    break
-                if stack[k][0] in P_BOUNDS:
-                    break
+        if tag in CLOSES_P and last("p") > last(P_BOUNDS):
+            close_to(last("p"))
         if tag in CLOSES:
             ends, bounds = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in bounds:
-                    break
-                if stack[k][0] in ends:
-                    close_to(k)
-                    if tag != "tr":
-                        break
-        if tag == "body":
-            for k in range(1, len(stack)):
-                if stack[k][0] == "head":
-                    close_to(k)
+            while (k := last(ends)) > last(bounds):
+                close_to(k)
+                if tag != "tr":
                     break
+        if tag == "body" and places["head"]:
+            close_to(places["head"][0])
         if attributes.endswith("/") and tag in SILENT:
             continue
         if tag in SILENT:
@@ -193,14 +190,14 @@ def parse(page: str) -> list[Node]:
         if tag == "a":
             links += 1
         if tag in INLINE:
-            stack.append((tag, holder))
+            opened(tag)
             continue
         flush()
         hint, mark = _hint(tag, attributes)
         nodes.append(Node(tag, hint, holder, mark))
         nodes[holder].children.append(len(nodes) - 1)
         holder = len(nodes) - 1
-        stack.append((tag, holder))
+        opened(tag)
     close_to(1)
     flush()
     if not any(n.tag == "body" for n in nodes):

@@ -81,3 +81,15 @@ def test_odd_pages(spark, model):
     assert by[3].text == "Only this text here.\n\nAnd that one."
     assert by[5].text.count("Some words") == 20_000
     assert M.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + "</i>" * 100_000, "<p><table>" + "<b>" * 50_000 + "<h1>x" * 50_000, "<ul>" + "<b>" * 50_000 + "<li>x" * 50_000, "<li>" * 100_000 + "</ul>" * 100_000])
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    from termfold.llm.main_text import parse
+
+    start = time.process_time()
+    parse(page)
+    assert time.process_time() - start < 5
