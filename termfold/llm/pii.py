@@ -12,7 +12,8 @@ host; a bare "at" needs a dot as well). In the graph of lexical patterns and ins
     score of an instance     = 1 - product over its patterns of (1 - confidence)
 
 Patterns count from SUPPORT different accepted instances on. Candidates that score ACCEPT or more are accepted and
-lend their support in the next round. All occurrences of an accepted instance are added to the spans; base spans stay.
+lend their support in the next round, until a round accepts no more. The occurrences of all patterns that may ever
+count are taken in one scan. All occurrences of an accepted instance are added to the spans; base spans stay.
 
 Positions are counted in code points, the end is exclusive. They follow from the lengths of the pieces between
 matches. The patterns are equal to the plain ones given in the comments, but never go back over a text: runs are
@@ -46,7 +47,7 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{2,64}}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]++)++",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{2,}}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "card": r"(?<![0-9./])[0-9]{4}(?:[./][0-9]{4}){2,3}(?![0-9./])",
     "phone": r"(?<![0-9A-Za-z.+(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])",
@@ -76,9 +77,10 @@ WEAK_GATES = {
 #: Characters of words, and tokens: words and single other characters.
 _WORD = r"[\p{L}\p{M}\p{N}]"
 TOKEN = rf"{_WORD}++|[^\s\p{{L}}\p{{M}}\p{{N}}]"
-#: Characters of context that are kept on either side of a match.
-CONTEXT = 48
-SUPPORT, ACCEPT, ROUNDS = 3, 0.8, 3
+#: What is kept of the text beside a match: three tokens (backwards), or one, however long, and the character beyond.
+_BACK = rf"(?s)^(?:\s*+(?:{TOKEN})){{0,3}}+\s*+.?"
+_ON = rf"(?s)^\s*+(?:{TOKEN})?+.?"
+SUPPORT, ACCEPT = 3, 0.8
 PROPOSE = 0.5
 #: Marks weak spans in place of 1 for seeds and 0 for loose spans.
 WEAK_SEED = -1
@@ -142,8 +144,8 @@ def _found(text: Column, kind: str, pattern: str, gate: str, check: bool) -> Col
         steps = F.zip_with(F.slice(p, F.lit(1), F.size(m)), m, lambda a, b: F.length(a) + F.length(b))
         return let(steps, lambda lengths: let(_running(lengths), lambda ends: F.transform(m, lambda v, i: F.struct(
             (F.get(ends, i) - F.length(v)).cast("int").alias("start"), F.lit(number).alias("kind"), F.get(ends, i).cast("int").alias("end"),
-            v.alias("value"), F.right(F.concat(edge(m, i - 1, F.right), F.get(p, i)), F.lit(CONTEXT)).alias("before"),
-            F.left(F.concat(F.get(p, i + 1), edge(m, i + 1, F.left)), F.lit(CONTEXT)).alias("after")))))
+            v.alias("value"), F.reverse(F.regexp_extract(F.reverse(F.concat(edge(m, i - 1, F.right), F.get(p, i))), _BACK, 0)).alias("before"),
+            F.regexp_extract(F.concat(F.get(p, i + 1), edge(m, i + 1, F.left)), _ON, 0).alias("after")))))
 
     every = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(
         F.size(m) > 0, let(F.split(text, pattern, -1), lambda p: placed(m, p)).cast(_SPAN)).otherwise(F.array().cast(_SPAN)))
@@ -192,7 +194,7 @@ def scanned(docs: DataFrame, keep: list[str]) -> DataFrame:
 def _lexical(spans: str, seed: int) -> list[Column]:
     """Kind, instance and lexical patterns of each span of an array column."""
     def tokens(side: str, cut: str) -> Column:
-        # what stands at the end of the kept characters may be part of a word only
+        # a word at the very end is cut, by the next match or by what is kept
         return F.transform(F.regexp_extract_all(F.regexp_replace(side, cut, ""), F.lit(TOKEN), F.lit(0)), F.lower)
 
     def whole(left: str, right: str) -> Column:
@@ -237,23 +239,24 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
         .join(asked, ["kind", "pattern"], "left_semi")
         .groupBy("kind", "value", "seed", "pattern").agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = staged(candidates.unionByName(seeds))
-    first = edges.where("seed = 1").select("kind", "value").distinct()
-    open_ = edges.where("seed <= 0").groupBy("kind", "value", "pattern").agg(F.max("seed").alias("seed"))
-    good, found, totals, n_found = first, None, None, 0
-    for _ in range(ROUNDS):
-        beside = staged(
+    edges = candidates.unionByName(seeds)
+    # instances only become accepted: what lacks support among all of them will never count
+    able = staged(edges.groupBy("kind", "pattern").agg(
+        F.count_distinct("value").alias("_all"), F.count_distinct(F.when(F.col("seed") == 1, F.col("value"))).alias("_seeds")
+    ).where(F.col("_all") >= SUPPORT))
+    if able.where(F.col("_seeds") >= SUPPORT).isEmpty():
+        return None
+    edges = staged(edges.join(able.select("kind", "pattern"), ["kind", "pattern"], "left_semi"))
+    asked, size = staged_and_measured(able.select("pattern").distinct())
+    totals = staged(_occurrences(docs, asked, size))
+    first = staged(edges.where("seed = 1").select("kind", "value").distinct())
+    open_ = staged(edges.where("seed <= 0").groupBy("kind", "value", "pattern").agg(F.max("seed").alias("seed")))
+    good, n_found = first, 0
+    while True:
+        beside = (
             edges.join(good, ["kind", "value"], "left_semi").groupBy("kind", "pattern")
             .agg(F.sum("n").alias("_n"), F.count_distinct("value").alias("support")).where(F.col("support") >= SUPPORT)
         )
-        # accepted candidates bring in patterns of their own: those not counted yet
-        new = beside.select("pattern").distinct()
-        new, size = staged_and_measured(new if totals is None else new.join(totals, "pattern", "left_anti"))
-        if size.rows:
-            counted = staged(_occurrences(docs, new, size))
-            totals = counted if totals is None else totals.unionByName(counted)
-        if totals is None:
-            return None
         confidence, size = staged_and_measured(beside.join(totals, "pattern").select("kind", "pattern", F.least(F.lit(0.99), F.col("_n") / F.col("total")).alias("confidence")))
         confidence = F.broadcast(confidence) if size.broadcastable else confidence
         scores = (
@@ -261,13 +264,11 @@ def accepted(docs: DataFrame, scan: DataFrame) -> DataFrame | None:
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"), F.max("seed").alias("seed"), F.max("confidence").alias("best"))
         )
         candidate = (F.col("seed") > WEAK_SEED) | (F.col("best") >= PROPOSE)
-        found = staged(scores.where(candidate & (F.col("score") >= ACCEPT)).select("kind", "value"))
+        found, size = staged_and_measured(scores.where(candidate & (F.col("score") >= ACCEPT)).select("kind", "value"))
         # more support only raises confidences: none is lost again, and the same number is the same set
-        n, n_found = n_found, found.count()
-        if n_found == n:
-            break
-        good = first.union(found).distinct()
-    return found
+        if size.rows == n_found:
+            return found
+        good, n_found = first.union(found).distinct(), size.rows
 
 
 def _added(scan: DataFrame, found: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from termfold.llm import pii
@@ -147,3 +148,109 @@ def test_running_sums(spark):
     df = spark.createDataFrame([(list(range(1, n + 1)),) for n in (1, 2, 3, 7, 100)], "v array<int>")
     for r in df.select("v", pii.let(F.col("v"), pii._running).alias("s")).collect():
         assert r.s == [sum(r.v[: i + 1]) for i in range(len(r.v))]
+
+
+def graph_plainly(texts):
+    """Values that the graph accepts, with dictionaries; spans and contexts by the operator's own forms."""
+    import math
+    from collections import Counter, defaultdict
+
+    word = r"[^\W_]|_"                                            # tests hold plain letters and digits only
+    token = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]")
+    counts, edges = Counter(), defaultdict(Counter)
+    for text, spans in texts:
+        tokens = token.findall(text)
+        for k in (1, 2, 3):
+            counts.update(" ".join(tokens[i : i + k]).lower() for i in range(len(tokens) - k + 1))
+        for start, end, kind, seed, others in spans:
+            left = max([0, *(e for s, e in others if e <= start)])
+            right = min([len(text), *(s for s, e in others if s >= end)])
+            before = [m for m in token.finditer(text, 0, start)]
+            before = [text[m.start() : m.end()] for m in before if m.start() >= left and not (m.start() == left and left and text[left - 1].isalnum() and text[left].isalnum())]
+            after = token.match(text[end:right].lstrip())
+            patterns = []
+            if not (start and text[start - 1].isalnum() and text[start].isalnum()):
+                patterns += [f"L{k} " + " ".join(before[-k:]).lower() for k in (1, 2, 3) if len(before) >= k]
+            if after and not (text[end - 1].isalnum() and text[end : end + 1].isalnum()):
+                cut = right < len(text) and after.end() == len(text[end:right].lstrip()) and text[right].isalnum() and after.group()[-1].isalnum()
+                patterns += [] if cut else ["R1 " + after.group().lower()]
+            for p in patterns:
+                edges[kind, text[start:end], seed][p] += 1
+    good = {(k, v) for k, v, seed in edges if seed == 1}
+    found = set()
+    while True:
+        beside, support = Counter(), defaultdict(set)
+        for (k, v, _), ps in edges.items():
+            if (k, v) in good:
+                for p, n in ps.items():
+                    beside[k, p] += n
+                    support[k, p].add(v)
+        confidence = {kp: min(0.99, n / counts[kp[1][3:]]) for kp, n in beside.items() if len(support[kp]) >= pii.SUPPORT}
+        new = set()
+        for k, v in {(k, v) for k, v, seed in edges if seed <= 0}:
+            own = {p for (a, b, s), ps in edges.items() if (a, b) == (k, v) and s <= 0 for p in ps}
+            got = [confidence[k, p] for p in own if (k, p) in confidence]
+            best_seed = max(s for (a, b, s) in edges if (a, b) == (k, v) and s <= 0)
+            if got and (best_seed > -1 or max(got) >= pii.PROPOSE) and 1 - math.prod(1 - c for c in got) >= pii.ACCEPT:
+                new.add((k, v))
+        if len(new) == len(found):
+            return found
+        found, good = new, good | new
+
+
+def chain(labels, each=4, often=5):
+    """Numbers once beside one label and often beside the next, and so on: each label is learned from the one before."""
+    texts = [f"tel +1 988 555 24{i:02d} now" for i in range(each) for _ in range(often)]
+    names = ["tel", *labels]
+    for n, (a, b) in enumerate(zip(names, names[1:])):
+        for i in range(each):
+            number = f"(98{n}) 555-24{i:02d}"
+            texts += [f"{a} {number}", *[f"{b} {number}"] * often]
+    return texts
+
+
+def found_numbers(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id for r in pii.extract(docs).collect() if r.spans}
+
+
+def test_the_bootstrap_goes_on_until_it_settles(spark):
+    texts = chain(["alpha", "bravo", "carol", "delta", "eagle"])
+    assert found_numbers(spark, texts) == set(range(len(texts)))
+
+
+@pytest.mark.parametrize("label", ["l" * 13, "l" * 60, "long " + "w" * 70 + " label", "l" * 5000])
+def test_labels_of_any_length(spark, label):
+    texts = [f"see {label} +1 988 555 24{i:02d} now" for i in range(6)] + [f"see {label} (988) 555-24{i:02d} there" for i in range(4)]
+    assert found_numbers(spark, texts) == set(range(10))
+
+
+def test_local_parts_of_any_length(spark):
+    local = "x" * 300
+    texts = [f"mail {local}{i}@host.org now" for i in range(6)] + [f"mail {local}{i} (at) host.org now" for i in range(4)]
+    assert found_numbers(spark, texts) == set(range(10))
+
+
+def test_graph_equals_a_plain_version(spark):
+    """Scores of patterns and instances in many small tables at once, told apart by a word in every label."""
+    import random
+
+    r = random.Random(8)
+    for _ in range(3):
+        labels = [f"lab{i}" for i in range(5)]
+        texts = []
+        for i in range(60):
+            number = f"555-24{r.randrange(12):02d}"
+            form = r.choice(["+1 988 {}", "(988) {}", "(988) {}", "988.{}"]).format(number if r.random() < 0.9 else "555-9999")
+            texts.append(f"{r.choice(['', 'call '])}{r.choice(labels)}{r.choice([' ', ': '])}{form}{r.choice(['', ' now', ', ok'])}" if r.random() < 0.85 else f"{r.choice(labels)} {r.choice(['now', 'alone'])}")
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        scan = pii.staged(pii.scanned(docs, ["doc_id"]))
+        rows = scan.collect()
+        plainly = []
+        for row in rows:
+            by_seed = [(1, row._base), (0, row._loose), (-1, row._weak)]
+            # contexts end at the next match of the same kind and form
+            spans = [(s.start, s.end, s.kind, seed, [(o.start, o.end) for o in group if o.kind == s.kind and o.start != s.start]) for seed, group in by_seed for s in group]
+            plainly.append((texts[row.doc_id], spans))
+        got = pii.accepted(docs, scan)
+        assert (set() if got is None else {(r.kind, r.value) for r in got.collect()}) == graph_plainly(plainly)
