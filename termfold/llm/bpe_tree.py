@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm.shared import ship_package, sliced, table
+from termfold.llm.shared import ship_package, sliced, table, tidy
 
 #: Words that a worker keeps encoded, twice: those in use, and those in use before.
 KEPT = 700_000
@@ -50,6 +50,10 @@ class Words:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
+    def forget(self) -> None:
+        self.number = {}
+        self.clear()
+
     def _learn(self, new: list[bytes]) -> None:
         number, flat, start, length = self.old
         found = [number.get(w) for w in new]
@@ -280,7 +284,8 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def _encode(batches, path: str, kept: int):
+@tidy
+def _encode(batches, path: str, kept: int, forget: bool):
     c = codec(path, kept)
     for b in sliced(batches):
         ids = list(encode_texts(c.words, _texts(b.column(1))))
@@ -288,6 +293,8 @@ def _encode(batches, path: str, kept: int):
         flat = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["doc_id", "ids"])
+    if forget:
+        c.words.forget()
 
 
 def _decode(batches, path: str):
@@ -311,10 +318,10 @@ def _digest(batches, path: str):
         )
 
 
-def encode(docs: DataFrame, path: str, kept: int = KEPT) -> DataFrame:
-    """doc_id and ids of each document; ``kept`` words stay encoded in a worker."""
+def encode(docs: DataFrame, path: str, kept: int = KEPT, forget: bool = False) -> DataFrame:
+    """doc_id and ids of each document; ``kept`` words stay encoded in a worker, or until a task's end (``forget``)."""
     ship_package(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path, kept=kept), "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path, kept=kept, forget=forget), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

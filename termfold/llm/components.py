@@ -6,9 +6,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termfold.llm.shared import ship_package
+from termfold.llm.shared import ship_package, tidy
 from termfold.operators.staging import staged
 
+@tidy
 def _contracted(batches):
     """Links of one partition become stars: every node points to the least of its component there."""
     parent: dict[int, int] = {}

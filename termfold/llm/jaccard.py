@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termfold.llm.components import components
-from termfold.llm.shared import ship_package, sliced, table, unused_prefix
+from termfold.llm.shared import ship_package, sliced, table, tidy, unused_prefix
 from termfold.operators.staging import staged
 
 WORDS, PERCENT = 3, 90
@@ -89,6 +89,7 @@ def common_needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+@tidy
 def _scan(batches, n: int):
     """A row per document (kind 0); at the end the partition's sketch (kind 1), each different set counted once."""
     seen: set[int] = set()
@@ -138,6 +139,7 @@ def _summed(key, frames: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [key[0]], "data": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
 
 
+@tidy
 def _postings(batches, n: int, percent: int, sketch):
     """The prefix of each different set: token, class, size and position."""
     counts, seen = sketch.value, set()
@@ -165,6 +167,7 @@ def _postings(batches, n: int, percent: int, sketch):
         ])
 
 
+@tidy
 def _partnered(batches, percent: int):
     """Entries that have another of like size in their list; rows come by token, size and class."""
     held = None
@@ -196,6 +199,7 @@ def _like(rows: list[np.ndarray], percent: int, first: int, end: int):
         yield _batch(POSTING, [pa.array(x[keep]) for x in rows])
 
 
+@tidy
 def _listed(batches, size: int):
     """Lists cut into blocks; rows come by token, size and class, with bucket counts."""
     token, rows = None, []
@@ -243,6 +247,7 @@ class _Block:
         return may, apart
 
 
+@tidy
 def _forests(batches, percent: int):
     """Per block, every set with the most similar one: a spanning forest of the possible links."""
     done: set[tuple[int, int]] = set()
@@ -268,6 +273,7 @@ def _forests(batches, percent: int):
         yield _batch("a long, b long", [[p for p, _ in out], [q for _, q in out]])
 
 
+@tidy
 def _across(batches, percent: int):
     """Possible links of entries in different components, within a block or between two."""
     done: set[tuple[int, int]] = set()
@@ -297,6 +303,7 @@ def _roots(classes: list[int], roots: list) -> np.ndarray:
     return np.array([known[c] for c in classes], np.int64)
 
 
+@tidy
 def _filter_parts(batches):
     """Bits of the classes of a partition."""
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -320,6 +327,7 @@ def _wanted(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[h >> 3] >> (h & 7)) & 1 == 1
 
 
+@tidy
 def _sets(batches, n: int, bits):
     """The sets of the classes that the filter names."""
     seen: set[int] = set()
@@ -335,6 +343,7 @@ def _sets(batches, n: int, bits):
         yield _batch("class long, tokens binary", [classes, sets])
 
 
+@tidy
 def _verified(batches, percent: int):
     for b in sliced(batches):
         out = []
@@ -461,6 +470,7 @@ def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     return clear.unionByName(stay.select(*docs.columns))
 
 
+@tidy
 def _named(batches, bits, column: int, text: int, n: int, named: bool, added: str):
     """Rows whose doc_id the filter names or that have none, with their class and each id and class once; or the others.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfold.llm.shared import ship_package, sliced, table
+from termfold.llm.shared import ship_package, sliced, table, tidy
 from termfold.operators.staging import staged
 
 FIT_ROWS = 40_000
@@ -72,6 +72,7 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
+@tidy
 def _statistics(batches):
     for b in sliced(batches):
         rows = np.array([statistics(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()], np.float32).reshape(b.num_rows, len(NAMES))
@@ -164,6 +165,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     return train(x[order], y[order])
 
 
+@tidy
 def _scores(batches, model):
     for b in batches:
         x = np.array(b.column(1).to_pylist(), np.float32).reshape(b.num_rows, len(NAMES))
@@ -178,6 +180,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+@tidy
 def _kept(batches, model, column: int):
     for b in sliced(batches):
         texts = b.column(column).cast(pa.binary()).to_pylist()

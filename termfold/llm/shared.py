@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed, carriage return.
@@ -33,6 +37,27 @@ def sliced(batches, rows: int = 512):
             yield b.slice(i, rows)
 
 
+def give_back() -> None:
+    """Returns memory that a worker no longer uses to the system: idle workers live on beside later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                 # another C library
+        pass
+
+
+def tidy(work):
+    """A task's function that gives back its memory at the end."""
+    @wraps(work)
+    def run(batches, *args, **kwargs):
+        try:
+            yield from work(batches, *args, **kwargs)
+        finally:
+            give_back()
+    return run
+
+
 def ship_package(spark: SparkSession) -> None:
     """Lets Python workers import this package, wherever they run: Spark's file server hands it out."""
     sc = spark.sparkContext
