@@ -19,7 +19,7 @@ from termfold.llm.shared import table
 from termfold.operators.staging import staged
 
 
-#: Words that a worker keeps encoded; few, since workers hold memory of earlier stages.
+#: Words that a worker keeps encoded until a task's end; few, since workers live on beside later stages.
 KEPT_WORDS = 150_000
 
 
@@ -42,7 +42,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ids = bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT_WORDS)
+    ids = bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT_WORDS, forget=True)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
