@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import zipfile
 from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from termfold.operators.shipping import ship_package as ship_package
+
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: What separates words.
@@ -56,20 +55,3 @@ def tidy(work):
         finally:
             give_back()
     return run
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package, wherever they run: Spark's file server hands it out."""
-    sc = spark.sparkContext
-    if getattr(sc, "_termfold_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="termfold-package-"), "termfold_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.join("termfold", os.path.relpath(full, top)))
-    sc.addPyFile(path)
-    sc._termfold_shipped = True
