@@ -141,10 +141,26 @@ def read_report(spark: SparkSession, path: str, classes: list[str] | None = None
     lacking = [n for n in names if n not in now.classes]
     if lacking or not names:
         raise ValueError(f"no output of {', '.join(lacking) or 'any class'} in {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        _rows(spark, path, now.classes[n], files).withColumns({PROFILE: F.lit(n), "section": F.lit(section)})
-        for n in names for section, files in now.classes[n].sections.items()
-    ])
+    runs: dict[tuple, list[str]] = {}
+    for n in names:
+        output = now.classes[n]
+        # the columns of CSV files are known by their place, so each class is read by itself
+        runs.setdefault((output.run, output.fmt, n if output.fmt == "csv" else None), []).append(n)
+    frames = [_run_rows(spark, path.rstrip("/"), run, fmt, {n: now.classes[n] for n in mine}) for (run, fmt, _), mine in runs.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _run_rows(spark: SparkSession, path: str, run: str, fmt: str, outputs: dict[str, manifest.Output]) -> DataFrame:
+    """Classes of one run in one scan: their columns together, class and section from the folders."""
+    columns: dict[str, T.StructField] = {}
+    for o in outputs.values():
+        columns |= {f.name: f for f in T.StructType.fromJson(json.loads(o.schema)).fields if f.name not in columns}
+    schema = T.StructType([*columns.values(), T.StructField(PROFILE, T.StringType()), T.StructField("section", T.StringType())])
+    files = [f"{path}/{f}" for o in outputs.values() for listed in o.sections.values() for f, _ in listed]
+    if not files:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).format(fmt).option("basePath", f"{path}/{run}")
+    return (reader.options(header=True) if fmt == "csv" else reader).load(files)
 
 
 def read_sheet(spark: SparkSession, path: str, class_value: str, section: str) -> DataFrame:
