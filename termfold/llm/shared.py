@@ -47,11 +47,12 @@ def give_back() -> None:
 
 
 def tidy(work):
-    """A task's function that gives back its memory at the end."""
+    """A task's function that gives back its memory at the end, and leaves the collector on."""
     @wraps(work)
     def run(batches, *args, **kwargs):
         try:
             yield from work(batches, *args, **kwargs)
         finally:
+            gc.enable()
             give_back()
     return run

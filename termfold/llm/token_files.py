@@ -14,6 +14,7 @@ the hash; repeated ids keep all their documents, in order of a hash of the text.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from functools import partial
 
@@ -23,11 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termfold.llm.bpe_tree import Words, _texts, encode_texts
-from termfold.llm.shared import ship_package, sliced, table
+from termfold.llm.library_words import LibraryWords
+from termfold.llm.shared import ship_package, sliced, table, tidy
 from termfold.operators.staging import new_path
 
 END_ID = 2
 SHARD_IDS = 1 << 20
+#: Words that a worker keeps encoded, twice.
+KEPT_WORDS = 200_000
 #: Bits of a level for each key that it is given.
 ROOM = 1.6
 LEVELS = 48
@@ -139,19 +143,18 @@ class Shard:
 def _encoder(path: str) -> Words:
     """Encodes with the library. Its pieces never cross white space, so each different word is encoded once."""
     if path not in _words:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(path)
-        _words[path] = Words(lambda words: [e.ids for e in library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+        _words[path] = Words(LibraryWords(path), KEPT_WORDS)
     return _words[path]
 
 
+@tidy
 def _shards(batches, path: str, end_id: int, shard_ids: int):
     import os
 
     from pyspark import TaskContext
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    gc.disable()                       # nothing here is cyclic, and looking through a full cache takes a fifth of the time
     words, part, seq = _encoder(path), TaskContext.get().partitionId(), 0
     end = np.array([end_id], np.uint32)
     keys, ids, held = [], [], 0
