@@ -451,6 +451,18 @@ def sheet_rows_sql() -> str:
             f"FROM ({class_sql('CELLMARK')})")
 
 
+def released_rows_sql() -> str:
+    return """
+        SELECT p_partkey, concat(p_name, ', "', p_brand, '"') AS p_name,
+               p_size, CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS problem
+        FROM part WHERE p_partkey % 10 NOT IN (3, 5, 7, 9)
+        UNION ALL
+        SELECT NULL, NULL, NULL, CASE p_partkey % 10 WHEN 3 THEN concat(p_partkey, ',', p_name) WHEN 5 THEN concat(p_partkey, ',"', p_name, ',', p_size)
+                 WHEN 7 THEN concat(p_partkey, ',', p_name, ',size') ELSE concat(',', p_name, ',', p_size) END,
+               CASE p_partkey % 10 WHEN 5 THEN 'quotes do not close' WHEN 9 THEN 'no p_partkey' ELSE 'fields do not fit the columns' END
+        FROM part WHERE p_partkey % 10 IN (3, 5, 7, 9)"""
+
+
 def long_keys_sql() -> str:
     tables, rows = [ALL_TABLES], []
     for value in CLASSES:
@@ -519,6 +531,7 @@ def operator_sql() -> dict[str, str]:
         "default_group_table": default_group_table_sql(),
         "warning_table": warning_table_sql(),
         "long_keys": long_keys_sql(),
+        "released_rows": released_rows_sql(),
     }
 
 

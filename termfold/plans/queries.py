@@ -17,6 +17,7 @@ from termfold.plans import fixed_values as V
 from termfold.plans import legacy, pipeline
 from termfold.plans.profiles import BY_NAME, PROFILES, all_rules
 from termfold.operators.staging import new_path
+from termfold.sources.released import read_released
 from termfold.sources.results import SECTIONS, read_report, read_sheet, write_reports
 from termfold.sources.rulebook import apply_rule_table, rule_hits
 from termfold.sources.sample import Sample
@@ -239,6 +240,17 @@ def sheet_rows_q(s: Sample) -> DataFrame:
     return pipeline.together(sheets).select("section", "row_number", "row_kind", "Heading", "LOINC_NUM", "SORT_ORDER")
 
 
+def released_rows_q(s: Sample) -> DataFrame:
+    """The part table as lines of a CSV file, some of them spoilt, read back: good rows, and the lines set aside."""
+    path = new_path(s.spark)
+    s.table("part").selectExpr(
+        "CASE p_partkey % 10 WHEN 3 THEN concat(p_partkey, ',', p_name) WHEN 5 THEN concat(p_partkey, ',\"', p_name, ',', p_size) "
+        "WHEN 7 THEN concat(p_partkey, ',', p_name, ',size') WHEN 9 THEN concat(',', p_name, ',', p_size) "
+        "ELSE concat(p_partkey, ',\"', p_name, ', \"\"', p_brand, '\"\"\",', p_size) END AS line").write.text(path)
+    got = read_released(s.spark, path, "p_name string, p_partkey long, p_size int", ["p_partkey"], ["p_partkey", "p_name", "p_size"])
+    return got.rows.unionByName(got.quarantine.select("record", "problem"), allowMissingColumns=True)
+
+
 def long_keys_q(s: Sample) -> DataFrame:
     """Keys longer than the 255 characters that a key column used to hold, by class; none is cut."""
     keyed = [pipeline.key_terms(s.terms, family, lookups(s)).select("profile", C.KEY) for family in pipeline.families(s.terms, PROFILES)]
