@@ -463,6 +463,15 @@ def released_rows_sql() -> str:
         FROM part WHERE p_partkey % 10 IN (3, 5, 7, 9)"""
 
 
+def expectations_sql() -> str:
+    checks = {
+        "value of LOINC_NUM": "trim(LOINC_NUM) <> ''", "value of COMPONENT": "trim(COMPONENT) <> ''", "known CLASS": inn("CLASS", CLASSES),
+        "value of METHOD_TYP": "CLASS IS DISTINCT FROM 'MICRO' OR trim(METHOD_TYP) <> ''", "unit with a number": "regexp_matches(EXAMPLE_UCUM_UNITS, '[0-9]')"}
+    return f"WITH {TERMS} " + " UNION ALL ".join(
+        f"SELECT {q(name)} AS expectation, count(*) FILTER (NOT coalesce({test}, false)) AS n_failing, count(*) AS n_rows FROM terms"
+        for name, test in checks.items())
+
+
 def long_keys_sql() -> str:
     tables, rows = [ALL_TABLES], []
     for value in CLASSES:
@@ -532,6 +541,10 @@ def operator_sql() -> dict[str, str]:
         "warning_table": warning_table_sql(),
         "long_keys": long_keys_sql(),
         "released_rows": released_rows_sql(),
+        "expectations": expectations_sql(),
+        "unmatched_keys": f"WITH {TERMS}, {PART} SELECT DISTINCT {n('COMPONENT')} AS value FROM terms WHERE {n('COMPONENT')} <> '' "
+                          f"AND {n('COMPONENT')} NOT IN (SELECT {n('PART')} FROM part_names WHERE PART IS NOT NULL)",
+        "repeated_keys": f"WITH {TERMS} SELECT SYSTEM, PROPERTY, SCALE_TYP, count(*) AS n_rows FROM terms GROUP BY ALL HAVING count(*) > 1",
     }
 
 

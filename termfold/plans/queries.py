@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termfold.functions.text import class_key, head, like_any, suffix
 from termfold.operators import classes as C
 from termfold.operators import columns as K
+from termfold.operators import expectations as E
 from termfold.operators import joins as J
 from termfold.operators.coarsen import apply_rules, duplicate
 from termfold.operators.conjunctions import add_warning_table
@@ -240,6 +241,23 @@ def sheet_rows_q(s: Sample) -> DataFrame:
     return pipeline.together(sheets).select("section", "row_number", "row_kind", "Heading", "LOINC_NUM", "SORT_ORDER")
 
 
+def expectations_q(s: Sample) -> DataFrame:
+    """Rows of the terms that do not meet what is expected of them."""
+    return E.failures(s.terms, [
+        E.filled("LOINC_NUM"), E.filled("COMPONENT"), E.listed("CLASS", [p.class_value for p in PROFILES]),
+        E.within(E.filled("METHOD_TYP"), F.col("CLASS") == "MICRO"), E.Expectation("unit with a number", F.col("EXAMPLE_UCUM_UNITS").rlike("[0-9]"))])
+
+
+def unmatched_keys_q(s: Sample) -> DataFrame:
+    """Components of the terms without a part of that name."""
+    return E.unmatched(s.terms, "COMPONENT", s.part, "PART")
+
+
+def repeated_keys_q(s: Sample) -> DataFrame:
+    """Attributes that several terms share."""
+    return E.repeated(s.terms, ["SYSTEM", "PROPERTY", "SCALE_TYP"])
+
+
 def released_rows_q(s: Sample) -> DataFrame:
     """The part table as lines of a CSV file, some of them spoilt, read back: good rows, and the lines set aside."""
     path = new_path(s.spark)

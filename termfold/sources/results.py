@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termfold.functions.text import norm, working_name
-from termfold.operators.classes import BLANK, REVISED_PAIRS
+from termfold.operators.classes import BLANK, MEMBER, REVISED_PAIRS
 from termfold.operators.coarsen import PROFILE, local_table
+from termfold.operators.expectations import Expectation, Unmet, Watch, within
 from termfold.operators.shipping import ship_package
 from termfold.operators.staging import file_system
 from termfold.plans import fixed_values as V
@@ -48,12 +50,14 @@ def write_report(report: DataFrame, path: str, fmt: str = "parquet", classes: li
 def write_reports(
     terms: DataFrame, path: str, profiles: list[Profile] = PROFILES,
     lookups: pipeline.Lookups = pipeline.Lookups(), fmt: str = "parquet", only_changed: bool = False,
+    expectations: Sequence[Expectation] = (),
 ) -> list[str]:
     """Run all classes in one job and write each with its own columns and no others; gives the names of those run.
 
     Terms are read once, and lookups built once, for all classes together. ``only_changed``: leave out classes whose
     terms, rules and lookups are those that their current output was made from. The digests that tell cost a pass
-    over the terms without joins.
+    over the terms without joins. ``expectations``: checks of the report's member rows in the section of all groups,
+    counted as they are written; if one does not hold, the run ends with ``Unmet`` and all current output stays.
     """
     pipeline.check_run(terms, profiles, lookups)
     spark, path, run = terms.sparkSession, path.rstrip("/"), _new_run()
@@ -68,10 +72,18 @@ def write_reports(
     ship_package(spark)
     spark.dataSource.register(sheets.Sheets)
     sheets.file_system_of(f"{path}/{run}")             # fails before the run where Python workers cannot write
+    members = (F.col("section") == V.SECTION_ALL) & (F.col("row_kind") == MEMBER)
+    watch = Watch(within(e, members) for e in expectations)
     (
-        _by_sheet(report).write.format(sheets.NAME).mode("append")
+        watch.on(_by_sheet(report)).write.format(sheets.NAME).mode("append")
         .options(path=f"{path}/{run}", fmt=fmt, columns=json.dumps(columns)).save()
     )
+    try:
+        watch.verify()
+    except Unmet:
+        fs, at = file_system(spark, f"{path}/{run}")
+        fs.delete(at, True)                            # written by this run and named by no manifest
+        raise
     files = json.loads(manifest.read_text(spark, f"{path}/{run}/{sheets.WRITTEN}"))
     schemas = {name: report.select(*own).schema for name, own in columns.items()}
     _publish(spark, path, run, fmt, files, schemas, digests)
