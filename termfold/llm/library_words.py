@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from termfold.llm.bpe_tree import Words
+
 #: Pieces that a worker keeps encoded, twice: those in use, and those in use before.
 KEPT_PIECES = 200_000
 #: Visible ASCII, Latin letters with their accents, Cyrillic letters, dashes, quotation marks, ellipsis.
@@ -109,3 +114,28 @@ class LibraryWords:
         easy = iter(self._plain("\n".join(easy)) if easy else [])
         rest = iter(self._whole([w for w, p in zip(words, plain) if not p]))
         return [next(easy) if p else next(rest) for p in plain]
+
+
+def encode_column(words: Words, texts: pa.Array, together: int = 4_000_000):
+    """Ids of each text, in order; null is empty.
+
+    Texts of about ``together`` bytes (a longer one alone) are split at ASCII white space by Arrow, and each different word of
+    theirs is looked up once.
+    """
+    texts = texts.cast(pa.string()).fill_null("")
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + together, "right")))
+        lists = pc.ascii_split_whitespace(texts.slice(i, j - i))
+        coded = lists.flatten().dictionary_encode()
+        own, ends = words.ids(coded.dictionary.cast(pa.binary()).to_pylist())     # white space at an end gives an empty word
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        at = coded.indices.to_numpy()
+        lengths = (ends - starts)[at]
+        cuts = np.concatenate([[0], np.cumsum(lengths)])
+        ids = own[np.arange(cuts[-1]) + np.repeat(starts[at] - cuts[:-1], lengths)]
+        offsets = lists.offsets.to_numpy()
+        for a, b in zip(*(cuts[offsets - offsets[0]][k].tolist() for k in (slice(None, -1), slice(1, None)))):
+            yield ids[a:b]
+        i = j

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termfold.llm.bpe_tree import Words, _texts, encode_texts
-from termfold.llm.library_words import LibraryWords
-from termfold.llm.shared import ship_package, sliced, table, tidy
+from termfold.llm.bpe_tree import Words
+from termfold.llm.library_words import LibraryWords, encode_column
+from termfold.llm.shared import ship_package, table, tidy
 from termfold.operators.staging import new_path
 
 END_ID = 2
@@ -165,8 +165,8 @@ def _shards(batches, path: str, end_id: int, shard_ids: int):
         keys, ids, held, seq = [], [], 0, seq + 1
         return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
-    for b in sliced(batches):
-        for key, x in zip(b.column(0).to_pylist(), encode_texts(words, _texts(b.column(1)))):
+    for b in batches:
+        for key, x in zip(b.column(0).to_pylist(), encode_column(words, b.column(1))):
             if keys and held + len(x) + 1 > shard_ids:
                 yield flushed()
             keys.append(key)

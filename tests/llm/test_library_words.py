@@ -5,10 +5,11 @@ import os
 import random
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from termfold.llm.bpe_tree import Words, encode_texts
-from termfold.llm.library_words import LibraryWords
+from termfold.llm.bpe_tree import Words
+from termfold.llm.library_words import LibraryWords, encode_column
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -42,8 +43,11 @@ def test_small_caches_change_nothing():
     rng = random.Random(6)
     texts = [" ".join(rng.choice("Ab cd, ef9 gh's ÄÖ ij-kl mn").strip() + str(rng.randint(0, 40)) for _ in range(50)) for _ in range(40)]
     pieces = LibraryWords(PATH, kept=7)
-    got = list(encode_texts(Words(pieces, 11), [t.encode() for t in texts], together=300))
-    assert [x.tolist() for x in got] == whole(texts)
+    texts += ["", " \t\n", " lead", "trail\x0b", "a\x1cb  c", "x" * 1000]
+    column = pa.array([None, *texts])
+    for part, want in ((column, ["", *texts]), (column.slice(7, 20), texts[6:26]), (column.slice(0, 0), [])):
+        got = list(encode_column(Words(pieces, 11), part, together=300))
+        assert [x.tolist() for x in got] == whole(want)
     assert len(pieces.pieces) <= 7 and len(pieces.before) <= 7
 
 
