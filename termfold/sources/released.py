@@ -52,7 +52,7 @@ def read_released(
     an error without.
     """
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿|\r$", "").alias(LINE), F.col("_metadata.file_path").alias(FILE))
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^\ufeff|\r$", "").alias(LINE), F.col("_metadata.file_path").alias(FILE))
     lines = lines.where(F.trim(LINE) != "")
     names, heads = header, None
     if names is None:

@@ -14,7 +14,7 @@ def put(folder, name, text):
 
 
 def test_good_rows_and_one_row_for_each_bad_line(spark, tmp_path):
-    path = put(tmp_path / "t", "a.csv", '﻿"COMPONENT","EXTRA",LOINC_NUM,RANK\r\n"Glucose, ""fasting""",x,1-1,5\r\n\r\nshort,1-2\r\nA,"broken,1-3,7\r\n'
+    path = put(tmp_path / "t", "a.csv", '\ufeff"COMPONENT","EXTRA",LOINC_NUM,RANK\r\n"Glucose, ""fasting""",x,1-1,5\r\n\r\nshort,1-2\r\nA,"broken,1-3,7\r\n'
                'B,x,1-4,seven\r\nC,x,,8\r\n"",,1-5,\r\nD,x,1-6,9,more\r\nlast,x,1-7,"3')
     got = read_released(spark, path, SCHEMA, required=["LOINC_NUM"])
     assert sorted(map(tuple, got.rows.collect()), key=repr) == sorted([("1-1", 5, 'Glucose, "fasting"'), ("1-5", None, None)], key=repr)
