@@ -21,12 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm.shared import ship_package, sliced, table, tidy
+from termfold.llm.shared import give_back, ship_package, sliced, table, tidy
 
 #: Words that a worker keeps encoded, twice: those in use, and those in use before.
 KEPT = 700_000
 #: Pieces with more symbols are merged one by one.
 TOGETHER = 128
+#: New words that are Python objects at a time while they are encoded.
+LEARNED = 16_384
 NONE = np.iinfo(np.int64).max
 
 _codecs: dict[tuple[str, int], "Codec"] = {}
@@ -55,6 +57,10 @@ class Words:
         self.clear()
 
     def _learn(self, new: list[bytes]) -> None:
+        for i in range(0, len(new), LEARNED):
+            self._learn_some(new[i : i + LEARNED])
+
+    def _learn_some(self, new: list[bytes]) -> None:
         number, flat, start, length = self.old
         found = [number.get(w) for w in new]
         encoded = iter(self.encode_words([w for w, k in zip(new, found) if k is None]))
@@ -89,7 +95,7 @@ class Words:
         return self.flat[np.arange(total) + np.repeat(self.start[at] - (ends - lengths), lengths)], ends
 
 
-def encode_texts(words: Words, texts: list[bytes], together: int = 2_000_000):
+def encode_texts(words: Words, texts: list[bytes], together: int = 1_000_000):
     """Ids of each text, in order; new words are learned for several texts at once."""
     i = 0
     while i < len(texts):
@@ -277,6 +283,7 @@ class Codec:
 def codec(path: str, kept: int = KEPT) -> Codec:
     if (path, kept) not in _codecs:
         _codecs[path, kept] = Codec(path, kept)
+        give_back()                                    # what the file was read into
     return _codecs[path, kept]
 
 
