@@ -20,7 +20,7 @@ from termfold.operators.staging import staged
 
 
 #: Words that a worker keeps encoded until a task's end; few, since workers live on beside later stages.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 75_000
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
