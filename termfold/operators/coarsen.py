@@ -17,6 +17,8 @@ PROFILE = "profile"
 # Rules come from the driver, so the lookup is as small as they are; above this
 # many rows it is measured and joined with care for hot heads.
 BROADCAST_RULES = 50_000
+# Gates on one column whose states are written out in the lookup (three to their power); beyond, diagrams.
+WRITTEN_GATES = 3
 # Profiles that run together: bits of a number.
 TOGETHER = 63
 
@@ -104,6 +106,12 @@ def _look_up(df, by_target, gates, profiles):
     texts: dict[str, Column] = {}
     lookups = []
     for target, by_profile in by_target.items():
+        if any(len(R.gate_names(run)) > WRITTEN_GATES for run in by_profile.values()):
+            lookup, own_keys, text, small = _diagram_lookup(df.sparkSession, target, by_profile, gates, profiles)
+            keys.update(own_keys)
+            lookups.append((lookup, [c for c in lookup.columns if c not in ("_nodes_" + target, "_texts_" + target)], small))
+            texts[target] = text
+            continue
         rows = [
             (start, profiles.bits[p], int(state or "0", 3), text)
             for p, run in by_profile.items() for state, start, text in R.fold(run)
@@ -135,7 +143,30 @@ def _look_up(df, by_target, gates, profiles):
     return df.withColumns(texts)
 
 
-ARROW_TYPES = {"_bit": pa.int64(), "_state": pa.int32()}
+def _diagram_lookup(spark, target, by_profile, gates, profiles):
+    """(lookup, its key columns' values, new text, whether it is small): a head's diagram is followed in the row.
+
+    A row of the lookup is a head (and profile) with its diagram, so gates of any number add no rows.
+    """
+    names = sorted({n for run in by_profile.values() for n in R.gate_names(run)})
+    found = [(p, head_, *diagram) for p, run in by_profile.items() for head_, diagram in R.diagrams(run, names).items()]
+    head_column, nodes, texts, digits = ("_" + c + "_" + target for c in ("head", "nodes", "texts", "digits"))
+    columns = {head_column: [f[1] for f in found]}
+    if profiles.several:
+        columns[Profiles.BIT] = [profiles.bits[f[0]] for f in found]
+    lookup = local_table(spark, {**columns, nodes: [f[2] for f in found], texts: [f[3] for f in found]})
+    states = F.array(*[F.when(gates[n], 1).when(~gates[n], 2).otherwise(3) for n in names])
+    gate = lambda i: F.get(nodes, 4 * i)
+    last = F.aggregate(
+        F.sequence(F.lit(0), F.size(texts) - 1), F.lit(0),
+        lambda at, i: F.when((i == at) & (gate(i) >= 0), F.get(nodes, 4 * i + F.get(digits, gate(i)))).otherwise(at),
+    )
+    text = F.when(F.col(texts).isNotNull(), F.get(texts, last))
+    new = F.when(text.isNotNull(), regroup(text, target)).otherwise(F.col(target))
+    return lookup, {head_column: norm(head(target)), digits: states}, new, sum(len(f[3]) for f in found) <= BROADCAST_RULES
+
+
+ARROW_TYPES = {"_bit": pa.int64(), "_state": pa.int32(), "_nodes": pa.list_(pa.int32()), "_texts": pa.list_(pa.string())}
 
 
 def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:

@@ -222,3 +222,90 @@ def fold(rules: list[Rule]) -> list[tuple[str, str, str]]:
             if text is not None:
                 out.append(("".join(digits), start, text))
     return out
+
+
+Diagram = tuple[list[int], list[str | None]]
+
+
+def diagrams(rules: list[Rule], names: list[str]) -> dict[str, Diagram]:
+    """Equality rules with gates of any number: normalised head -> decision diagram over the gates.
+
+    A node per gate that still matters to a head; equal tails are shared, so that n rules with n gates take about n
+    nodes, not 3 to the power of n states. A diagram is (numbers, texts): four numbers a node, the place of its gate in
+    ``names`` (-1 at an end) and the nodes that follow when it is true, false and unknown; one text a node, the
+    replacement at an end (None: the value stays). The first node is the start, every node comes before those that follow it.
+    """
+    place_of = {name: i for i, name in enumerate(names)}
+    takers: dict[str, list[int]] = {}
+    for place, r in enumerate(rules):
+        for v in {norm_text(v) for v in r.values}:
+            takers.setdefault(v, []).append(place)
+
+    def later(text: str, place: int) -> list[int]:
+        found = takers.get(norm_text(text.partition(HAT)[0]), [])
+        return found[bisect_right(found, place):]
+
+    # what may still be asked, filled from the last rule to the first: taking a rule leads to rules after it only
+    asked_after: list[frozenset[int]] = [frozenset()] * len(rules)
+
+    def asked(text: str, place: int) -> frozenset[int]:
+        return frozenset().union(*(asked_after[p] for p in later(text, place)))
+
+    for p in range(len(rules) - 1, -1, -1):
+        own = {place_of[rules[p].gate.lstrip("!")]} if rules[p].gate else set()
+        asked_after[p] = asked(rules[p].group, p) | own
+
+    nodes: dict[tuple, int] = {}
+    known_nodes: dict[tuple, int] = {}
+
+    def node(what: tuple) -> int:
+        return nodes.setdefault(what, len(nodes))
+
+    def build(start: str, text: str | None, place: int, known: dict[int, str]) -> int:
+        while True:
+            now = start if text is None else text
+            needed = asked(now, place)
+            state = (now, text is None, place, tuple(sorted((g, d) for g, d in known.items() if g in needed)))
+            if state in known_nodes:
+                return known_nodes[state]
+            taken = None
+            for p in later(now, place):
+                if rules[p].gate is None:
+                    taken = p
+                    break
+                gate = place_of[rules[p].gate.lstrip("!")]
+                if gate not in known:
+                    follow = tuple(build(start, text, p - 1, known | {gate: d}) for d in "102")
+                    known_nodes[state] = follow[0] if len(set(follow)) == 1 else node((gate, *follow))
+                    return known_nodes[state]
+                if known[gate] == ("0" if rules[p].gate.startswith("!") else "1"):
+                    taken = p
+                    break
+            if taken is None:
+                return node((-1, text))
+            _, hat, parts = now.partition(HAT)
+            text, place = rules[taken].group + hat + parts, taken
+
+    heads = list(dict.fromkeys(norm_text(v) for r in rules for v in r.values if HAT not in v))
+    tops = {head: build(head, None, -1, {}) for head in heads}
+    by_number = list(nodes)
+    return {head: _laid_out(top, by_number) for head, top in tops.items()}
+
+
+def _laid_out(top: int, by_number: list[tuple]) -> Diagram:
+    """The nodes below ``top``: a node is numbered after those that follow it, so falling numbers are in order."""
+    below, open_ = {top}, [top]
+    while open_:
+        what = by_number[open_.pop()]
+        new = set(what[1:]) - below if what[0] >= 0 else set()
+        below |= new
+        open_ += new
+    order = sorted(below, reverse=True)
+    place = {n: i for i, n in enumerate(order)}
+    numbers: list[int] = []
+    texts: list[str | None] = []
+    for n in order:
+        what = by_number[n]
+        numbers += [what[0], *(place[f] for f in what[1:])] if what[0] >= 0 else [-1] + 3 * [place[n]]
+        texts.append(None if what[0] >= 0 else what[1])
+    return numbers, texts

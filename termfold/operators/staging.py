@@ -86,5 +86,7 @@ def _sizes(table: DataFrame, counted: str | None) -> list[Column]:
     for f in table.schema.fields:
         if isinstance(f.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0))
     total = F.sum(counted) if counted else F.sum(F.lit(0))
     return [F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), F.coalesce(total, F.lit(0))]
