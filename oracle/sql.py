@@ -405,6 +405,14 @@ def gated_group_sql() -> str:
     return c.group("SYSTEM_REV", IV, f"NOT ({oxygen})").group("SYSTEM_REV", V.CHEM_SYSTEM_OXYGEN, oxygen).sql()
 
 
+def many_gates_sql() -> str:
+    c = Chain("SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem").dup("l_returnflag", "l_returnflag_REV")
+    for gate, group, values_ in Q.GATED:
+        condition = Q.GATES[gate.lstrip("!")]
+        c.group("l_returnflag_REV", {group: values_}, f"NOT ({condition})" if gate.startswith("!") else condition)
+    return c.group("l_returnflag_REV", Q.UNGATED).sql()
+
+
 def rule_table_apply_sql() -> str:
     rules = """SELECT s_suppkey AS seq, concat('analyte ', s_suppkey) AS value, CASE WHEN s_suppkey % 3 = 0
         THEN concat('Analyte ', s_suppkey + 1, '^next') ELSE concat('Nation ', s_nationkey) END AS grp FROM supplier"""
@@ -505,6 +513,7 @@ def operator_sql() -> dict[str, str]:
             "event_type", "Event-Other", inn("event_type", ["click", "view"])).sql(),
         "dup_and_group": spec_steps(Chain("SELECT p_partkey, p_type FROM part").dup("p_type", "p_type_REV"), "p_type_REV", Q.TYPE_GROUPS).sql(),
         "gated_group": gated_group_sql(),
+        "many_gates": many_gates_sql(),
         "rast_gate": from_terms("LOINC_NUM, COMPONENT, SCALE_TYP").dup("SCALE_TYP", "SCALE_REV").group(
             "SCALE_REV", V.SHARED_SCALE, "COMPONENT NOT ILIKE 'RAST%' AND COMPONENT NOT ILIKE '%.RAST%'").sql(),
         "antibody_null_method": from_terms("LOINC_NUM, COMPONENT, METHOD_TYP").dup("METHOD_TYP", "METHOD_REV").put(

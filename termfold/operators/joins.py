@@ -14,6 +14,9 @@ from termfold.operators.staging import measure, staged, staged_and_measured
 # than HOT_SHARE hot keys whatever the size of the data: safe to broadcast.
 HOT_SHARE = 10_000
 SCATTER = 1 << 20
+# Words of a key filter (64 bits each) and bits set by a key, all in one word. Its size is fixed: safe to broadcast.
+FILTER_WORDS = 1 << 18
+FILTER_BITS = 4
 
 
 def join_broadcast(left: DataFrame, right: DataFrame, on: list[str], only: Column | None = None) -> DataFrame:
@@ -80,6 +83,35 @@ def join_counts(left: DataFrame, sizes: DataFrame, on: list[str], count: str) ->
     return join_beside_hot(left, sizes, on, sizes.where(F.col(count) * HOT_SHARE > size.total))
 
 
+def _filter_word(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS))
+
+
+def _filter_mask(key: str) -> Column:
+    bits = F.xxhash64(F.col(key), F.lit("bits"))
+    places = [F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(FILTER_BITS)]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places])
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A Bloom filter of a column's values, as at most FILTER_WORDS rows: _word and its bits _bits."""
+    masks = keys.where(F.col(key).isNotNull()).select(_filter_word(key).alias("_word"), _filter_mask(key).alias("_mask"))
+    return staged(masks.groupBy("_word").agg(F.bit_or("_mask").alias("_bits")))
+
+
+def passed_share(filtered: DataFrame) -> float:
+    """Share of keys not in a filter that pass it all the same, by the bits that are set."""
+    full = F.sum(F.pow(F.bit_count("_bits") / 64.0, F.lit(FILTER_BITS)))
+    return (filtered.agg(full).first()[0] or 0.0) / FILTER_WORDS
+
+
+def prefiltered(left: DataFrame, filtered: DataFrame, key: str) -> DataFrame:
+    """Rows whose key a filter may hold: all that it holds, and ``passed_share`` of the others. NULL never passes."""
+    found = left.withColumn("_word", _filter_word(key)).join(F.broadcast(filtered), "_word")
+    mask = _filter_mask(key)
+    return found.where(F.col(key).isNotNull() & (F.col("_bits").bitwiseAND(mask) == mask)).select(*left.columns)
+
+
 def part_weights(part: DataFrame, weights: DataFrame) -> DataFrame:
     """One weight per part name: that of the smallest part number of type 1."""
     names = (
@@ -107,18 +139,20 @@ def add_molecular_weights(
 def components_like(terms: DataFrame, detail: DataFrame, patterns: list[str]) -> DataFrame:
     """Distinct COMPONENTs, over all classes, whose core part is like a pattern.
 
-    The numbers are written and measured; few, they are broadcast and no term is shuffled. Beyond that, a
-    LOINC_NUM names one term, so the join needs no care for hot keys but NULL, which is left out.
+    The numbers are written and measured; few, they are broadcast and no term is shuffled. Beyond that, only
+    terms that pass a filter of the numbers, of fixed size, are shuffled; a LOINC_NUM names one term, so the join needs no
+    care for hot keys but NULL, which is left out.
     """
     numbers, size = staged_and_measured(
         detail.where(like_any("COMPONENTCORE", patterns) & F.col("LOINC_NUM").isNotNull())
         .select(norm("LOINC_NUM").alias("_num"))
         .distinct()
     )
+    asked = terms.select("COMPONENT", norm("LOINC_NUM").alias("_num")).where(F.col("COMPONENT").isNotNull() & F.col("_num").isNotNull())
+    if not size.broadcastable:
+        asked = prefiltered(asked, key_filter(numbers, "_num"), "_num")
     return (
-        terms.select("COMPONENT", norm("LOINC_NUM").alias("_num"))
-        .where(F.col("COMPONENT").isNotNull() & F.col("_num").isNotNull())
-        .join(F.broadcast(numbers) if size.broadcastable else numbers, "_num", "left_semi")
+        asked.join(F.broadcast(numbers) if size.broadcastable else numbers, "_num", "left_semi")
         .groupBy(norm("COMPONENT").alias("_component"))
         .agg(F.min("COMPONENT").alias("COMPONENT"))
     )

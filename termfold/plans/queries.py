@@ -29,6 +29,10 @@ TYPE_GROUPS = {"Big": ["LARGE", "medium"], "Other": {"default": True, "skipPatte
                "Small": ["SMALL"]}
 DEFAULT_GROUPS = {"Other": {"default": True, "skipPatterns": ["Virus%", "%sat[u]ration"]},
                   "G1": ["Glucose", "C peptide"], "G2": ["Ammonia"]}
+# Twelve conditions, each unknown for a remainder of 1, and what they allow: every group may lead to the next.
+GATES = {f"part{k:02}": f"nullif(l_partkey % {k}, 1) = 0" for k in range(2, 14)}
+GATED = [(("!" if i % 2 else "") + gate, f"Flag {i}", ["A", "N", f"flag {i - 1}"]) for i, gate in enumerate(GATES)]
+UNGATED = {"End": ["R", "Flag 7"]}
 
 
 def lookups(s: Sample) -> pipeline.Lookups:
@@ -94,6 +98,13 @@ def gated_group_q(s: Sample) -> DataFrame:
     return apply_rules(df, rules_of("", steps), pipeline.gates({"oxygen"})).drop("COMPONENT_HATLESS")
 
 
+def many_gates_q(s: Sample) -> DataFrame:
+    """A column under twelve gates, whose states would be half a million."""
+    df = duplicate(s.table("lineitem").select("l_orderkey", "l_partkey", "l_returnflag"), {"l_returnflag_REV": "l_returnflag"})
+    steps = [groups("l_returnflag", {group: values}, gate=gate) for gate, group, values in GATED]
+    return apply_rules(df, rules_of("", [*steps, groups("l_returnflag", UNGATED)]), {name: F.expr(cond) for name, cond in GATES.items()})
+
+
 def rast_gate_q(s: Sample) -> DataFrame:
     rast = like_any("COMPONENT", V.RAST_PATTERNS)
     df = K.dup_column(s.terms.select("LOINC_NUM", "COMPONENT", "SCALE_TYP"), "SCALE_TYP", "SCALE_REV")

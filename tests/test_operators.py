@@ -160,6 +160,40 @@ def test_few_listed_numbers_are_broadcast(spark, monkeypatch):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("words", [1, 64, 1 << 18])
+def test_key_filter_loses_no_key(spark, monkeypatch, words):
+    """All listed keys pass, of the others the stated share; hot, repeated and null keys too; nothing from an empty list."""
+    monkeypatch.setattr(J, "FILTER_WORDS", words)
+    keys = spark.range(500).select(F.concat(F.lit("k"), F.col("id") * 7).alias("k")).union(spark.createDataFrame([(None,), ("k0",)], "k string"))
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit("k7")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), F.lit("clash").alias("bits"))
+    found = J.key_filter(keys, "k")
+    assert found.count() <= words
+    passed, share = J.prefiltered(rows, found, "k"), J.passed_share(found)
+    assert passed.columns == rows.columns
+    matches, known = rows.join(keys.distinct(), "k", "left_semi").count(), rows.where("k IS NOT NULL").count()
+    assert passed.join(keys.distinct(), "k", "left_semi").count() == matches
+    extra = (passed.count() - matches) / (known - matches)
+    assert abs(extra - share) < 0.02 and (share < 0.001) == (words == 1 << 18)
+    assert J.prefiltered(rows, J.key_filter(keys.where("false"), "k"), "k").count() == 0
+
+
+def test_only_terms_that_pass_the_filter_are_shuffled(spark, monkeypatch):
+    terms = spark.range(5000).select(F.col("id").cast("string").alias("LOINC_NUM"), F.concat(F.lit("c"), F.col("id") % 900).alias("COMPONENT"))
+    detail = spark.range(5000).select(F.col("id").cast("string").alias("LOINC_NUM"), F.when(F.col("id") % 100 == 0, "ab").otherwise("x").alias("COMPONENTCORE"))
+    want = sorted(map(tuple, J.components_like(terms, detail, ["a%"]).collect()))
+    shuffled, plain = [], J.prefiltered
+
+    def counted(*args):
+        out = plain(*args)
+        shuffled.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "prefiltered", counted)
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    assert sorted(map(tuple, J.components_like(terms, detail, ["a%"]).collect())) == want and len(want) == 9
+    assert len(shuffled) == 1 and 50 <= shuffled[0] <= 55
+
+
 def test_lint_lists_dead_values():
     found = {(p, v) for p, _, _, v, _ in R.lint(all_rules())}
     assert {("MICRO", "SerPl^bpu"), ("MICRO", "Bld^donor"), ("MOLPATH", "Tiss^Fetus"), ("MICRO", "Neisser stain")} <= found
