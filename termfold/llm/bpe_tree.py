@@ -27,11 +27,11 @@ from termfold.llm.shared import give_back, ship_package, sliced, table, tidy
 KEPT = 700_000
 #: Pieces with more symbols are merged one by one.
 TOGETHER = 128
-#: New words that are Python objects at a time while they are encoded.
-LEARNED = 16_384
+#: Bytes of the texts that are split into words at a time.
+SPLIT = 2_000_000
 NONE = np.iinfo(np.int64).max
 
-_codecs: dict[tuple[str, int], "Codec"] = {}
+_codecs: dict[tuple[str, int, int | None], "Codec"] = {}
 
 
 class Words:
@@ -41,8 +41,8 @@ class Words:
     are taken over with their ids, so that only words long unseen are encoded anew.
     """
 
-    def __init__(self, encode_words, kept: int = KEPT):
-        self.encode_words, self.kept = encode_words, kept
+    def __init__(self, encode_words, kept: int = KEPT, learned: int | None = None):
+        self.encode_words, self.kept, self.learned = encode_words, kept, learned
         self.number = {}
         self.clear()
 
@@ -57,8 +57,9 @@ class Words:
         self.clear()
 
     def _learn(self, new: list[bytes]) -> None:
-        for i in range(0, len(new), LEARNED):
-            self._learn_some(new[i : i + LEARNED])
+        some = self.learned or max(1, len(new))                # so many are Python objects at a time
+        for i in range(0, len(new), some):
+            self._learn_some(new[i : i + some])
 
     def _learn_some(self, new: list[bytes]) -> None:
         number, flat, start, length = self.old
@@ -95,7 +96,7 @@ class Words:
         return self.flat[np.arange(total) + np.repeat(self.start[at] - (ends - lengths), lengths)], ends
 
 
-def encode_texts(words: Words, texts: list[bytes], together: int = 1_000_000):
+def encode_texts(words: Words, texts: list[bytes], together: int = SPLIT):
     """Ids of each text, in order; new words are learned for several texts at once."""
     i = 0
     while i < len(texts):
@@ -114,7 +115,7 @@ def encode_texts(words: Words, texts: list[bytes], together: int = 1_000_000):
 
 
 class Codec:
-    def __init__(self, path: str, kept: int = KEPT):
+    def __init__(self, path: str, kept: int = KEPT, learned: int | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -138,7 +139,7 @@ class Codec:
         pairs = np.array(pairs, np.int64)
         self.by_pair = np.argsort(pairs, kind="stable")
         self.pairs = pairs[self.by_pair]
-        self.words = Words(self.encode_words, kept)
+        self.words = Words(self.encode_words, kept, learned)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair, NONE without one."""
@@ -280,11 +281,12 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-def codec(path: str, kept: int = KEPT) -> Codec:
-    if (path, kept) not in _codecs:
-        _codecs[path, kept] = Codec(path, kept)
-        give_back()                                    # what the file was read into
-    return _codecs[path, kept]
+def codec(path: str, kept: int = KEPT, learned: int | None = None) -> Codec:
+    if (path, kept, learned) not in _codecs:
+        _codecs[path, kept, learned] = Codec(path, kept, learned)
+        if learned:
+            give_back()                                        # what the file was read into
+    return _codecs[path, kept, learned]
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -292,10 +294,10 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 @tidy
-def _encode(batches, path: str, kept: int, forget: bool):
-    c = codec(path, kept)
+def _encode(batches, path: str, kept: int, forget: bool, learned: int | None, split: int):
+    c = codec(path, kept, learned)
     for b in sliced(batches):
-        ids = list(encode_texts(c.words, _texts(b.column(1))))
+        ids = list(encode_texts(c.words, _texts(b.column(1)), split))
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
@@ -325,10 +327,14 @@ def _digest(batches, path: str):
         )
 
 
-def encode(docs: DataFrame, path: str, kept: int = KEPT, forget: bool = False) -> DataFrame:
-    """doc_id and ids of each document; ``kept`` words stay encoded in a worker, or until a task's end (``forget``)."""
+def encode(docs: DataFrame, path: str, kept: int = KEPT, forget: bool = False, learned: int | None = None, split: int = SPLIT) -> DataFrame:
+    """doc_id and ids of each document; ``kept`` words stay encoded in a worker, or until a task's end (``forget``).
+
+    ``learned`` new words are encoded at a time (None: all of ``split`` bytes of text): fewer take less memory and more time.
+    """
     ship_package(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path, kept=kept, forget=forget), "doc_id long, ids array<int>")
+    work = partial(_encode, path=path, kept=kept, forget=forget, learned=learned, split=split)
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
