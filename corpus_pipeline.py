@@ -21,6 +21,8 @@ from termfold.operators.staging import staged
 
 #: Words that a worker keeps encoded until a task's end; few, since workers live on beside later stages.
 KEPT_WORDS = 75_000
+#: New words, and bytes of text, that a worker holds as Python objects at a time.
+LEARNED_WORDS, SPLIT_BYTES = 16_384, 1_000_000
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,8 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ids = bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT_WORDS, forget=True)
+    ids = bpe_tree.encode(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT_WORDS, forget=True,
+                          learned=LEARNED_WORDS, split=SPLIT_BYTES)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
