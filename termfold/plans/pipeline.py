@@ -14,6 +14,7 @@ from termfold.operators import joins
 from termfold.operators.classes import KEY, REVISED_PAIRS, add_warnings, report, set_units
 from termfold.operators.coarsen import TOGETHER
 from termfold.operators.coarsen import PROFILE, Profiles, apply_rules, duplicate, local_table
+from termfold.operators.ranges import PART_ROWS
 from termfold.operators.rules import EQ
 from termfold.plans import fixed_values as V
 from termfold.plans.profiles import PROFILES, Profile
@@ -77,6 +78,17 @@ def tag(terms: DataFrame, profiles: list[Profile]) -> DataFrame:
     return df.join(F.broadcast(table), "_class").drop("_class")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over at least one task per PART_ROWS of them.
+
+    A scan task takes a share of the files that grows with the table; the rules and keys that follow cost much more
+    a row than the scan, so the longest task would grow with the input.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
+    return df.repartition(tasks)
+
+
 def run_of(profiles: list[Profile]) -> Profiles:
     return Profiles([p.name for p in profiles])
 
@@ -116,7 +128,7 @@ def key_terms(terms: DataFrame, profiles: list[Profile] = PROFILES, lookups: Loo
 
     All classes take the same steps in one pass: projections and broadcast lookups.
     """
-    df = tag(terms, profiles)
+    df = spread(tag(terms, profiles))
 
     rules = [r for p in profiles for r in p.rule_list()]
     used = {r.gate.lstrip("!") for r in rules if r.gate}

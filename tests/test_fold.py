@@ -136,3 +136,18 @@ def test_few_gates_by_diagrams_give_the_same(spark, monkeypatch):
     written = sorted(map(tuple, coarsen.apply_rules(df, rules, gates).collect()))
     monkeypatch.setattr(coarsen, "WRITTEN_GATES", 0)
     assert sorted(map(tuple, coarsen.apply_rules(df, rules, gates).collect())) == written
+
+
+def test_key_terms_spread_over_tasks_by_rows(spark, monkeypatch):
+    """Terms stored in one file are not keyed in one task: each task takes about PART_ROWS of them."""
+    from termfold.plans import pipeline
+    from termfold.plans.profiles import BY_NAME
+    from termfold.sources.terms import TERM_SCHEMA
+
+    monkeypatch.setattr(pipeline, "PART_ROWS", 50, raising=False)
+    row = {c: None for c in TERM_SCHEMA.names}
+    rows = [{**row, "LOINC_NUM": f"T{i}", "COMPONENT": "Glucose", "CLASS": "CHEM"} for i in range(1000)]
+    terms = spark.createDataFrame(rows, TERM_SCHEMA).coalesce(1)
+    keyed = pipeline.key_terms(terms, [BY_NAME["CHEM"]])
+    sizes = keyed.rdd.glom().map(len).collect()
+    assert sum(sizes) == 1000 and len(sizes) >= 20 and max(sizes) <= 100
