@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from termfold.llm import bpe_tree, jaccard, mixing, pii, quality
 from termfold.llm.shared import table
-from termfold.operators.staging import staged
+from termfold.operators.staging import mark, release, staged
 
 
 #: Words that a worker keeps encoded until a task's end; few, since workers live on beside later stages.
@@ -62,7 +62,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), mark()
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
+        # The stage's own tables and the stage before's result are not read again.
+        release(spark, since, keep=(docs,))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from termfold.llm.components import components
 from termfold.llm.shared import ship_package, sliced, table, tidy, unused_prefix
-from termfold.operators.staging import staged
+from termfold.operators.staging import mark, release, staged
 
 WORDS, PERCENT = 3, 90
 #: Rows that a task remembers so as to pass each once.
@@ -380,6 +380,7 @@ def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, bloc
     """(rows, roots): doc_id, n_shingles and class of each document; node and root of the classes that are linked."""
     spark = docs.sparkSession
     ship_package(spark)
+    since = mark()
     scan = staged(docs.select("doc_id", "text").mapInArrow(partial(_scan, n=n), SCAN))
     rows = scan.where("kind = 0").select("doc_id", "n_shingles", "class")
     sketch = _gathered(
@@ -398,9 +399,11 @@ def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, bloc
         .repartition("token").sortWithinPartitions("token", "size", "class")
         .mapInArrow(partial(_listed, size=block), LISTED)
     )
+    release(spark, since, keep=(scan, blocks))
     parts = ["classes", "sizes", "buckets"]
     first = _links(docs, blocks.select(*parts).mapInArrow(partial(_forests, percent=percent), "a long, b long"), n, percent)
     roots = staged(components(first))
+    release(spark, since, keep=(scan, blocks, roots))
 
     entry = blocks.select("token", "block", F.explode("classes").alias("class")).join(
         roots.withColumnRenamed("node", "class"), "class", "left").select("token", "block", "class", F.coalesce("root", "class").alias("root"))
@@ -423,7 +426,9 @@ def linked_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, bloc
     )
     merged = staged(components(lifted))
     last = merged.toDF("root", "last")
-    return rows, staged(roots.join(last, "root", "left").select("node", F.coalesce("last", "root").alias("root")).union(merged))
+    linked = staged(roots.join(last, "root", "left").select("node", F.coalesce("last", "root").alias("root")).union(merged))
+    release(spark, since, keep=(rows, linked))
+    return rows, linked
 
 
 def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

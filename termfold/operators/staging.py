@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ ROW_OVERHEAD = 64
 
 _local: list[str] = []
 _folders: set[str] = set()
+# Tables that ``staged`` wrote in this thread, in order, until ``release`` deletes them.
+_written = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,13 +53,44 @@ def new_path(spark: SparkSession) -> str:
     return f"{folder}/{uuid.uuid4().hex}"
 
 
+def _staged_paths() -> list[str]:
+    if not hasattr(_written, "paths"):
+        _written.paths = []
+    return _written.paths
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The same rows from a written table: no lineage, and repeated use costs a scan."""
     spark, path = df.sparkSession, new_path(df.sparkSession)
     df.write.parquet(path)
+    _staged_paths().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """The place in this thread's staged tables from which ``release`` deletes them."""
+    return len(_staged_paths())
+
+
+def release(spark: SparkSession, since: int, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Deletes the tables this thread staged after ``since``, but those that a DataFrame of ``keep`` reads.
+
+    Staged tables otherwise stay until the application ends; a chain of steps calls this once a step's result is
+    written, so that its intermediate tables and the step before's result do not pile up on disk.
+    """
+    paths = _staged_paths()
+    read = [f for df in keep for f in df.inputFiles()]
+    kept = []
+    for path in paths[since:]:
+        name = path.rsplit("/", 1)[-1]
+        if any(f"/{name}/" in f or f.endswith(f"/{name}") for f in read):
+            kept.append(path)
+        else:
+            fs, at = file_system(spark, path)
+            fs.delete(at, True)
+    paths[since:] = kept
+
+
 def staged_and_measured(df: DataFrame, counted: str | None = None) -> tuple[DataFrame, Size]:
     """A staged table and its size, counted while it is written."""
     seen = Observation()
