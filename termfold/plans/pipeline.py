@@ -82,8 +82,10 @@ def spread(df: DataFrame) -> DataFrame:
     """The rows dealt evenly over at least one task per PART_ROWS of them.
 
     A scan task takes a share of the files that grows with the table; the rules and keys that follow cost much more
-    a row than the scan, so the longest task would grow with the input.
+    a row than the scan, so the longest task would grow with the input. A stream, which cannot be counted, stays as it is.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
     return df.repartition(tasks)
