@@ -50,7 +50,7 @@ ROUND_BYTES = 16 << 20
 PART_BYTES = 64 << 20
 #: Queries packed together, and queries and vectors of one product of matrices.
 QUERY_ROWS = 512
-PRODUCT = (1024, 2048)
+PRODUCT = (512, 1024)
 #: Pairs compared exactly at a time, and rows given out at a time.
 EXACT_ROWS = 16_384
 GIVEN_ROWS = 65_536
