@@ -459,7 +459,7 @@ class Nearest:
         # single precision where its range allows, else double, else every pair is compared exactly
         longest = float(max(norm.max(), self.norm.max()))
         reach = longest * longest
-        width = next((x for x in ("f4", "f8") if reach < np.finfo(x).max / 1e6), None)
+        width = next((x for x in ("f4", "f8") if reach < float(np.finfo(x).max) / 1e6), None)
         side = None
         if width:
             if width not in self.sides:
